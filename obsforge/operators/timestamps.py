@@ -38,7 +38,7 @@ DAYS = {d: i for i, d in enumerate("mon tue wed thu fri sat sun".split())}
 LONGEST = 80
 
 TIME = r"(?P<h>\d{1,2}):(?P<mi>\d\d)(?::(?P<s>\d\d)(?:[.,](?P<f>\d+))?)?"
-ZONE = r"\s*(?P<z>z|[+-]\d\d(?::?\d\d)?|[a-z]{2,5}(?:[+-]\d\d:?\d\d)?)?\s*(?P<iana>\[[a-z_+\-0-9/]+\]|[a-z_]+(?:/[a-z_+\-0-9]+)+)?"
+ZONE = r"\s*(?P<z>z|[+-]\d\d(?::?\d\d)?|[a-z]{2,5}(?![a-z_/])(?:[+-]\d\d:?\d\d)?)?\s*(?P<iana>\[[a-z_+\-0-9/]+\]|[a-z_]+(?:/[a-z_+\-0-9]+)+)?"
 # The shapes a text may have, each with what its digits mean.
 SHAPES = {
     "ymd": rf"(?P<y>\d{{4}})(?P<sep>[-/.])(?P<mo>\d\d?)(?P=sep)(?P<d>\d\d?)(?:[t\s]\s*{TIME}{ZONE})?",
