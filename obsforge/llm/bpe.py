@@ -13,7 +13,8 @@ is filled from the gadgets' order:
 * the younger of the two tokens decides: if ``y = (a, b)`` came after ``x`` (or is x), the arc
   ``y`` was added to x's state iff that had the arc ``a`` once y's merge was done;
 * if ``x = (c, d)`` came after ``y``, its state began as a copy of d's at that time;
-* the arc is gone if x and y themselves merge at a later rank.
+* the arc is gone if x and y themselves merge at a later rank;
+* no state has an arc y whose parts never stand side by side when y's merge comes.
 
 Entries are computed at their first use and kept in the table.  Encoding walks
 the bytes of a word once: the last token of each prefix is the only token that
@@ -112,7 +113,7 @@ class Automaton:
     def follows(self, x: int, y: int) -> bool:
         key = x << 20 | y
         if (got := self.table.get(key)) is None:
-            got = self.has_arc(x, y)
+            got = self._whole(y) and self.has_arc(x, y)
             if len(self.table) < 4_000_000:
                 self.table[key] = got
         return got
