@@ -16,34 +16,57 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def before_after(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, right_at: str, right_id: str, strict: bool = False) -> DataFrame:
+SLOT_US = 86_400_000_000
+
+
+def _carried(rows: DataFrame, keys: Sequence[str], value: str, forward: bool, pick) -> DataFrame:
+    """(keys, _slot, value): for each occupied slot what ``pick`` makes of the earlier (later, if not ``forward``) slots' values.
+
+    One row a slot: bounded by the calendar, so the window over a key's slots stays small however many rows a key has.
+    """
+    per = rows.groupBy(*keys, "_slot").agg(pick(value).alias(value))
+    w = Window.partitionBy(*keys).orderBy("_slot" if forward else F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
+    return per.withColumn(value, pick(value).over(w)).where(F.col(value).isNotNull())
+
+
+def before_after(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, right_at: str, right_id: str, strict: bool = False, slot_us: int = SLOT_US) -> DataFrame:
     """``left`` with structs ``before`` and ``after`` (us, id): the last right row at or before, the first at or after.
 
-    With ``strict`` equal times don't count.
+    With ``strict`` equal times don't count.  The ordered pass runs per key and slot of time; what precedes and follows a
+    slot is carried into it, so one key with most of the rows spreads over its slots.
     """
     cols = left.columns
-    row = F.struct(F.col(right_at).alias("us"), F.col(right_id).alias("id"))
-    a = left.select(*keys, F.col(at).alias("_at"), F.struct(*cols).alias("_left"), F.lit(None).cast("struct<us:bigint,id:bigint>").alias("_right"))
-    b = right.where(F.col(right_at).isNotNull()).select(*keys, F.col(right_at).alias("_at"), F.lit(None).cast(a.schema["_left"].dataType).alias("_left"), row.cast("struct<us:bigint,id:bigint>").alias("_right"))
-    both = a.unionByName(b).withColumn("_side", F.col("_right").isNull() if not strict else F.col("_right").isNotNull())
-    up = Window.partitionBy(*keys).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy(*keys).orderBy(F.desc("_at"), "_side").rowsBetween(Window.unboundedPreceding, 0)
+    kind = "struct<us:bigint,id:bigint>"
+    a = left.select(*keys, F.col(at).alias("_at"), F.struct(*cols).alias("_left"), F.lit(None).cast(kind).alias("_right"))
+    b = right.where(F.col(right_at).isNotNull()).select(*keys, F.col(right_at).alias("_at"), F.lit(None).cast(a.schema["_left"].dataType).alias("_left"), F.struct(F.col(right_at).alias("us"), F.col(right_id).alias("id")).cast(kind).alias("_right"))
+    both = a.unionByName(b).withColumn("_slot", F.floor(F.col("_at") / slot_us))
+    carried = None
+    for forward, pick in ((True, F.max), (False, F.min)):
+        c = _carried(both, keys, "_right", forward, pick).select(*keys, F.col("_right.us").alias("_at"), F.lit(None).cast(a.schema["_left"].dataType).alias("_left"), "_right", "_slot")
+        carried = c if carried is None else carried.unionByName(c)
+    both = both.unionByName(carried).withColumn("_side", F.col("_right").isNull() if not strict else F.col("_right").isNotNull())
+    up = Window.partitionBy(*keys, "_slot").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*keys, "_slot").orderBy(F.desc("_at"), "_side").rowsBetween(Window.unboundedPreceding, 0)
     seen = both.withColumn("before", F.last("_right", True).over(up)).withColumn("after", F.last("_right", True).over(down))
-    whole = [F.col(k).isNotNull() for k in keys] + [F.col("_at").isNotNull()]
-    ok = whole[0]
-    for w in whole[1:]:
-        ok = ok & w
+    ok = F.col("_at").isNotNull()
+    for k in keys:
+        ok = ok & F.col(k).isNotNull()
     return seen.where("_right IS NULL").select("_left.*", F.when(ok, F.col("before")).alias("before"), F.when(ok, F.col("after")).alias("after"))
 
 
-def asof_best(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, right_at: str, order: Column, direction: str) -> DataFrame:
+def asof_best(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, right_at: str, order: Column, direction: str, slot_us: int = SLOT_US) -> DataFrame:
     """``left`` with ``best``: the greatest ``order`` struct among the right rows at or before (backward) or at or after (forward)."""
     cols = left.columns
+    back = direction == "backward"
     a = left.select(*keys, F.col(at).alias("_at"), F.struct(*cols).alias("_left"))
     b = right.where(F.col(right_at).isNotNull()).select(*keys, F.col(right_at).alias("_at"), order.alias("_order"))
     both = a.withColumn("_order", F.lit(None).cast(b.schema["_order"].dataType)).unionByName(b.withColumn("_left", F.lit(None).cast(a.schema["_left"].dataType)))
-    first = F.col("_at") if direction == "backward" else F.desc("_at")
-    w = Window.partitionBy(*keys).orderBy(first, F.col("_order").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("_slot", F.floor(F.col("_at") / slot_us))
+    edge = F.col("_slot") * slot_us if back else (F.col("_slot") + 1) * slot_us
+    carried = _carried(both, keys, "_order", back, F.max).select(*keys, edge.alias("_at"), "_order", F.lit(None).cast(a.schema["_left"].dataType).alias("_left"), "_slot")
+    both = both.unionByName(carried)
+    first = F.col("_at") if back else F.desc("_at")
+    w = Window.partitionBy(*keys, "_slot").orderBy(first, F.col("_order").isNull()).rowsBetween(Window.unboundedPreceding, 0)
     return both.withColumn("best", F.max("_order").over(w)).where("_order IS NULL").select("_left.*", "best")
 
 

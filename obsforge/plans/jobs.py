@@ -117,12 +117,12 @@ def singleton_guard(spark, d):
 
 
 @query(with_(FILES) + """, q AS (SELECT file_id, date_beg FROM f WHERE level = '1' AND observatory = '4' AND file_type = 'CR' AND coalesce(outlier, 0) = 0 AND date_beg IS NOT NULL ORDER BY date_beg DESC, file_id LIMIT 1000),
-t AS (SELECT max(epoch_us(date_beg)) AS newest, count(*) AS n FROM q) SELECT file_id FROM q, t WHERE t.n >= 50 AND t.newest - epoch_us(q.date_beg) <= 1296000000000""")
+t AS (SELECT max(epoch_us(date_beg)) AS newest, count(*) AS n FROM q) SELECT file_id FROM q, t WHERE t.n >= 10 AND t.newest - epoch_us(q.date_beg) <= 1296000000000""")
 def residual_batch(spark, d):
     """The newest batch of at most 1000 images and 15 days, if there are enough to fit."""
     q = files(spark, d).where("level = '1' AND observatory = '4' AND file_type = 'CR' AND coalesce(outlier, 0) = 0 AND date_beg IS NOT NULL").orderBy(F.desc("date_beg"), "file_id").limit(1000)
     t = q.agg(F.max(micros("date_beg")).alias("newest"), F.count("*").alias("n"))
-    return q.join(F.broadcast(t), F.col("newest") - micros("date_beg") <= 1_296_000_000_000).where("n >= 50").select("file_id")
+    return q.join(F.broadcast(t), F.col("newest") - micros("date_beg") <= 1_296_000_000_000).where("n >= 10").select("file_id")
 
 
 @query(with_(FILES) + """, a AS (SELECT file_id, observatory, file_type, date_beg, row_number() OVER (PARTITION BY observatory, file_type ORDER BY date_beg DESC, file_id) AS rn FROM f WHERE level = '3' AND state = 'created' AND date_beg IS NOT NULL)
