@@ -57,6 +57,12 @@ def test_offsets_and_long_texts(spark):
     assert sentence_units(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("text", ["\t “停！”塔洛喊道，穹顶就静了下来。", " (Die Notizen liegen da.) Manche Teile", "\n«قف!» صاح فوسفين."])
+def test_leading_white_space(text):
+    got = [text[b:e] for b, e in sentences(text)]
+    assert got == (["(Die Notizen liegen da.)", "Manche Teile"] if "Die" in text else [text.strip()])
+
+
 def test_word_lattice():
     assert words("ในรายงาน") == ["ใน", "รายงาน"]
     assert "".join(words("กขคงเวลาจฉช")) == "กขคงเวลาจฉช" and "เวลา" in words("กขคงเวลาจฉช")
