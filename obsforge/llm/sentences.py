@@ -80,7 +80,7 @@ THAI_FINAL = frozenset("ครับ ค่ะ คะ นะ ไหม เลย
 ZH_SAYS = regex.compile(r"[^。！？\n]{0,40}?(?:问道|喊道|说道|叫道|答道|写道|问|说|喊|叫|道)(?:[，。：！？,]|$)")
 JA_AFTER_QUOTE = "とはがをにのでもやへ、，"
 
-BLANK = regex.compile(r"[\s\u200b\u200c\u200d\u2060\ufeff]*")
+BLANK = regex.compile(r"\s*")
 THAI = regex.compile(r"\p{Thai}")
 BREAK = regex.compile(r"(?:\r\n|[\n\r \x85])[^\S\n\r  \x85]*(?:\r\n|[\n\r \x85])\s*| \s*")
 TERM = regex.compile(rf"[{regex.escape(TERMINATORS)};;](?:\s?[{regex.escape(TERMINATORS)}])*")
