@@ -8,20 +8,13 @@ from pyspark.sql import functions as F
 from obsforge.catalog import load
 from obsforge.functions import names
 from obsforge.operators import filters
-from obsforge.plans.views import FILES, FLOWS, files, flows, with_
+from obsforge.plans.views import FILES, FLOWS, files, flows, query_into, with_
 
 Q: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    def keep(f):
-        Q[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return keep
+query = query_into(Q, ORACLE)
 
 
 @query("""SELECT file_id, file_type, observatory, date_beg FROM files
@@ -171,8 +164,8 @@ def gap_filled_hours(spark, d):
     w = flows(spark, d)
     span = w.agg(F.date_trunc("hour", F.min("end_time")).alias("lo"), F.date_trunc("hour", F.max("end_time")).alias("hi"))
     hours = span.select(F.explode(F.sequence(F.col("lo").cast("timestamp_ntz"), F.col("hi").cast("timestamp_ntz"), F.expr("INTERVAL 1 HOUR"))).alias("hour"))
-    types = w.agg(F.collect_set("flow_type").alias("types"))  # as many as there are flow types
-    grid = hours.join(F.broadcast(types)).select("hour", F.explode("types").alias("flow_type")).withColumn("state", F.explode(F.array(F.lit("failed"), F.lit("completed"))))
+    types = w.agg(F.collect_set("flow_type")).scalar()  # as many as there are flow types
+    grid = hours.withColumn("flow_type", F.explode(types)).withColumn("state", F.explode(F.array(F.lit("failed"), F.lit("completed"))))
     counts = w.groupBy(F.date_trunc("hour", "end_time").cast("timestamp_ntz").alias("hour"), "flow_type", "state").agg(F.count("*").alias("c"))
     return grid.join(counts, ["hour", "flow_type", "state"], "left").select("hour", "flow_type", "state", F.coalesce("c", F.lit(0)).alias("n"))
 

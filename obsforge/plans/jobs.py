@@ -7,20 +7,13 @@ from pyspark.sql import functions as F
 from obsforge.catalog import load, micros
 from obsforge.operators import asof
 from obsforge.plans.sequences import NOW_SQL, now_us
-from obsforge.plans.views import FILES, FLOWS, files, flows, with_
+from obsforge.plans.views import FILES, FLOWS, files, flows, query_into, with_
 
 Q: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    def keep(f):
-        Q[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return keep
+query = query_into(Q, ORACLE)
 
 
 def _models(f, level, kind):
@@ -52,9 +45,10 @@ def level1_middle_ready(spark, d):
     """Images within the models' span that have no product of the next level yet."""
     f = files(spark, d)
     o = f.where((F.col("level") == "1") & F.col("file_type").isin("PM", "PZ", "PP") & F.col("state").isin("created", "progressed") & F.col("date_beg").isNotNull()).select("file_id", micros("date_beg").alias("us"))
-    span = f.where("level = '3' AND state IN ('created', 'progressed')").agg(F.min(micros("date_beg")).alias("lo"), F.max(micros("date_beg")).alias("hi"))
+    models = f.where("level = '3' AND state IN ('created', 'progressed')")
+    lo, hi = (models.agg(g(micros("date_beg"))).scalar() for g in (F.min, F.max))
     made = load(spark, d, "relationships").join(f.where("level = '2'").select(F.col("file_id").alias("child")), "child").select(F.col("parent").alias("file_id"))
-    return o.join(F.broadcast(span), F.col("us").between(F.col("lo"), F.col("hi"))).join(made, "file_id", "left_anti").select("file_id")
+    return o.where(F.col("us").between(lo, hi)).join(made, "file_id", "left_anti").select("file_id")
 
 
 @query(with_(FILES) + f""", o AS ({_raw('3', "'PM', 'CR', 'PZ', 'PP'")}), m AS (SELECT observatory, epoch_us(date_beg) AS mus FROM f WHERE level = '2' AND date_beg IS NOT NULL)
@@ -121,8 +115,8 @@ t AS (SELECT max(epoch_us(date_beg)) AS newest, count(*) AS n FROM q) SELECT fil
 def residual_batch(spark, d):
     """The newest batch of at most 1000 images and 15 days, if there are enough to fit."""
     q = files(spark, d).where("level = '1' AND observatory = '4' AND file_type = 'CR' AND coalesce(outlier, 0) = 0 AND date_beg IS NOT NULL").orderBy(F.desc("date_beg"), "file_id").limit(1000)
-    t = q.agg(F.max(micros("date_beg")).alias("newest"), F.count("*").alias("n"))
-    return q.join(F.broadcast(t), F.col("newest") - micros("date_beg") <= 1_296_000_000_000).where("n >= 10").select("file_id")
+    newest, n = q.agg(F.max(micros("date_beg"))).scalar(), q.agg(F.count("*")).scalar()
+    return q.where((newest - micros("date_beg") <= 1_296_000_000_000) & (n >= 10)).select("file_id")
 
 
 @query(with_(FILES) + """, a AS (SELECT file_id, observatory, file_type, date_beg, row_number() OVER (PARTITION BY observatory, file_type ORDER BY date_beg DESC, file_id) AS rn FROM f WHERE level = '3' AND state = 'created' AND date_beg IS NOT NULL)

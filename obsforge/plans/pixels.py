@@ -8,22 +8,13 @@ from pyspark.sql import functions as F
 from obsforge.catalog import load, micros
 from obsforge.functions import physics as ph
 from obsforge.operators import stacks, stencils
-from obsforge.plans.views import FILES, PIXELS, files, pixels, with_
+from obsforge.plans.views import FILES, PIXELS, files, pixels, query_into, with_
 
 Q: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    def keep(f):
-        Q[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return keep
-
-
+query = query_into(Q, ORACLE)
 r6 = lambda c, name: F.round(c, 6).alias(name)
 PX = with_(PIXELS)
 KEY = ["image_id", "y", "x"]

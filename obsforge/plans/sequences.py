@@ -9,20 +9,13 @@ from pyspark.sql import functions as F
 
 from obsforge.catalog import load, micros
 from obsforge.operators import sequences as seq
-from obsforge.plans.views import FILES, FLOWS, files, flows, with_
+from obsforge.plans.views import FILES, FLOWS, files, flows, query_into, with_
 
 Q: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    def keep(f):
-        Q[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return keep
+query = query_into(Q, ORACLE)
 
 
 NOW = "2025-10-08 00:00:00"
@@ -115,7 +108,8 @@ def half_window_inputs(spark, d):
     times = ["2025-10-04 12:00:00", "2025-10-06 00:00:00", "2025-11-15 00:00:00"]
     t = spark.createDataFrame([(x,) for x in times], "r string").select(F.col("r").cast("timestamp_ntz").alias("ref_time"))
     f = files(spark, d).where("level = '1' AND NOT coalesce(bad_packets, false) AND state IN ('created', 'progressed') AND date_beg IS NOT NULL").select("file_id", micros("date_beg").alias("us"))
-    near = F.broadcast(t).join(f, F.abs(F.col("us") - micros("ref_time")) <= 172_800_000_000).withColumn("later", F.col("us") >= micros("ref_time"))
+    asked = F.explode(F.array(*[F.lit(x).cast("timestamp_ntz") for x in times]))
+    near = f.withColumn("ref_time", asked).where(F.abs(F.col("us") - micros("ref_time")) <= 172_800_000_000).withColumn("later", F.col("us") >= micros("ref_time"))
     rank = F.row_number().over(Window.partitionBy("ref_time", "later").orderBy(F.abs(F.col("us") - micros("ref_time")), "file_id"))
     c = near.withColumn("rn", rank).where("rn <= 60").groupBy("ref_time").agg(F.count_if("later").alias("a"), F.count_if(~F.col("later")).alias("b"))
     got = t.join(c, "ref_time", "left").select("ref_time", F.coalesce("b", F.lit(0)).alias("before"), F.coalesce("a", F.lit(0)).alias("after"))

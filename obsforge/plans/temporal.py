@@ -7,20 +7,13 @@ from pyspark.sql import functions as F
 
 from obsforge.catalog import load, micros
 from obsforge.operators import asof
-from obsforge.plans.views import FILES, files, with_
+from obsforge.plans.views import FILES, files, query_into, with_
 
 Q: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    def keep(f):
-        Q[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return keep
+query = query_into(Q, ORACLE)
 
 
 # Observations are level 1 files; calibration models are level 3 files of the same observatory.

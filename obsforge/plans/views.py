@@ -43,3 +43,18 @@ CAST(0.1 AS DOUBLE) + CAST((vec_id * 7 + i - 1) % 13 AS DOUBLE) / 10 AS unc, (ve
 
 def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+def query_into(queries: dict, oracle: dict):
+    """A decorator that registers a query under its name, with its SQL if there is any."""
+
+    def query(sql: str | None = None):
+        def keep(f):
+            queries[f.__name__] = f
+            if sql:
+                oracle[f.__name__] = sql
+            return f
+
+        return keep
+
+    return query

@@ -60,3 +60,24 @@ def test_mask():
 def test_new_files(spark):
     found = spark.createDataFrame([("a",), ("b",)], "path string")
     assert [r.path for r in packets.new_files(found, spark.createDataFrame([("a",), (None,)], "path string")).collect()] == ["b"]
+
+
+def test_csv_budget_upsert_and_products(spark, tmp_path):
+    from obsforge.sources import tables
+
+    (tmp_path / "r.csv").write_text("start_time,start_block,replay_length\n2025-01-01 00:00:00.5,2048,5\nx,y,z\n")
+    rows = tables.read_csv(spark, str(tmp_path / "r.csv"), "replays").cache()
+    assert rows.count() == 2 and [r.start_block for r in rows.where("_bad IS NULL").collect()] == [2048]
+    assert tables.within_budget(rows, "_bad", 0.6).count() == 1
+    with pytest.raises(Exception, match="inputs failed"):
+        tables.within_budget(rows, "_bad", 0.1).collect()
+    t = spark.createDataFrame([(1, None, "a"), (1, 2, "b")], "k int, l int, v string")
+    n = spark.createDataFrame([(1, None, "c"), (3, 3, "d")], "k int, l int, v string")
+    assert sorted(r.v for r in tables.upsert(t, n, ["k", "l"]).collect()) == ["b", "c", "d"]
+    f = spark.sql("SELECT '1' AS level, 'PM' AS file_type, '4' AS observatory, timestamp_ntz'2025-01-02 03:00:00' AS date_beg, 7 AS file_id")
+    tables.write_products(f, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out")).where("day = date'2025-01-02' AND level = 1")
+    assert back.count() == 1
+    (tmp_path / "h.bin").write_bytes(b"abc")
+    digest = tables.with_digest(spark.read.format("binaryFile").load(str(tmp_path / "h.bin"))).collect()[0].digest
+    assert digest == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
