@@ -84,24 +84,31 @@ def merge_blocks(df: DataFrame, keys: Sequence[str], start: str, length: str, to
     return cut.withColumn("_i", F.sum("_cut").over(w)).groupBy(*keys, "_i").agg(F.min(start).alias("start"), F.max("_end").alias("end"), F.count("*").alias("requests")).drop("_i")
 
 
-def ring_requests(requests: pd.DataFrame, low: int = 2048, high: int = 24575) -> pd.DataFrame:
-    """Replay requests (start_block, replay_length) on a ring of flash blocks, merged.
+def ring_requests(requests: pd.DataFrame, low: int = 2048, high: int = 24575, since=None, until=None) -> pd.DataFrame:
+    """Replay requests (start_time, start_block, replay_length) on a ring of flash blocks, merged where they overlap or touch.
 
-    A negative length or an end beyond the ring wraps around; the wrapped rest begins at the ring's low end and may join
-    with the first request.  The list is a command file: tens to hundreds of rows, on the driver.
+    Requests outside [since, until] or the ring are left out.  A negative length wraps around the ring's end; a wrapped
+    request joins with one that its rest reaches.  A merged request's length counts both its ends, a single one keeps its
+    own: that is what the receiving side expects.  The list is a command file of tens to hundreds of rows, on the driver.
     """
-    size, parts = high - low + 1, []
-    for start, length in requests[["start_block", "replay_length"]].itertuples(index=False):
-        length = length + size if length < 0 else length
-        end = start + length
-        if end > high + 1:
-            parts += [(start, high + 1), (low, end - size)]
+    r = requests[requests["start_block"].between(low, high)]
+    if "start_time" in r:
+        t = pd.to_datetime(r["start_time"])
+        r = r[(t >= since if since is not None else t.notna()) & (t <= until if until is not None else t.notna())]
+    size = high - low + 1
+    spans = []  # begin, end, number of requests, raw length, time of the first
+    for k, start, length in zip(r["start_time"] if "start_time" in r else range(len(r)), r["start_block"], r["replay_length"]):
+        whole = length + size if length < 0 else length
+        spans.append([start, start + whole, 1, whole, k])
+    out: list[list] = []
+    for s in sorted(spans, key=lambda s: s[0]):
+        if out and s[0] <= out[-1][1]:
+            out[-1] = [out[-1][0], max(out[-1][1], s[1]), out[-1][2] + s[2], None, min(out[-1][4], s[4])]
         else:
-            parts.append((start, end))
-    out: list[list[int]] = []
-    for a, b in sorted(parts):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return pd.DataFrame([(a, b - a) for a, b in out], columns=["start_block", "replay_length"])
+            out.append(s)
+    # What reaches beyond the end comes back at the low end.
+    while len(out) > 1 and out[-1][1] > high + 1 and out[-1][1] - size >= out[0][0]:
+        head, last = out.pop(0), out[-1]
+        out[-1] = [last[0], max(last[1], head[1] + size), last[2] + head[2], None, min(last[4], head[4])]
+    rows = [(k, b, raw if raw is not None else e - b + 1) for b, e, _, raw, k in out]
+    return pd.DataFrame(sorted(rows), columns=["start_time", "start_block", "replay_length"])

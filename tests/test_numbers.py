@@ -67,10 +67,12 @@ def test_admission(spark):
 
 
 def test_replay_ring():
-    merge = lambda *r: sequences.ring_requests(pd.DataFrame(r, columns=["start_block", "replay_length"]))
-    assert len(merge((20949, 20), (20952, 50), (21001, 5), (21002, 5))) == 1
-    assert merge((24570, 20)).values.tolist() == [[2048, 14], [24570, 6]]
-    assert len(merge((24570, 20), (2050, 100))) == 2 and len(merge()) == 0
+    merge = lambda *r, **kw: sequences.ring_requests(pd.DataFrame([("2025-01-01", *x) for x in r], columns=["start_time", "start_block", "replay_length"]), **kw)
+    assert merge((20949, 20), (20952, 50), (21001, 5), (21002, 5)).values.tolist() == [["2025-01-01", 20949, 59]]
+    assert merge((24570, 20 - 22528)).values.tolist() == [["2025-01-01", 24570, 20]]
+    assert merge((24570, 20 - 22528), (2050, 100)).values.tolist() == [["2025-01-01", 24570, 109]]
+    assert len(merge((24570, 20 - 22528), (3000, 100))) == 2 and len(merge()) == 0
+    assert len(merge((100, 5), (2048, 5))) == 1 and len(merge((2048, 5), until=pd.Timestamp("2024-12-31"))) == 0
 
 
 def test_limits(spark):
