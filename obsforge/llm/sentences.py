@@ -42,7 +42,7 @@ ABBREVIATIONS = frozenset(
     sr sra srta dra dres ej p.ej aprox pág págs núm art ud uds
     т т.е ок ср с рис табл см проф им гл стр напр г ул тыс млн руб
     κ κα κος περ βλ σ σελ εικ αρ π.χ δηλ πχ αριθ
-    डॉ पृ कि.ग्रा श्री प्रो सं कि
+    डॉ पृ कि.ग्रा श्री प्रो सं कि चि क्र श्रीमती ई पू
     د أ أ.د ص ا رقم
     น กก ดร พ.ศ ค.ศ จ อ ต ถ รศ ผศ
     """.split()

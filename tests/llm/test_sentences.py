@@ -11,7 +11,7 @@ SPACED = {
     "es": ["«¿Está lista la placa?», preguntó Vosny.", "Tinta escribió: «La batería se ha perdido».", "¿Por qué se detuvo?", "J. K. Ta firmó a las 7:01 p. m. en Lo.", "Algunas piezas, p. ej. la placa, etc."],
     "ru": ["Проверили зонд, купол и т. д.", "См. рис. 4442 и табл. 21, где показан зонд.", "«Стой!» — крикнул Венлунсто, и объектив затих.", "Проф. Ло ушёл."],
     "el": ["Ο Γ. Κ. Ζα υπέγραψε στις 12:48 μ.μ. στο Τινεθ.", "Γιατί σταμάτησε το όργανο;", "Είδαν το βλήμα κ.ά.", "Μερικά μέρη, π.χ. το κύκλωμα, θέλουν περ. 46 ώρες."],
-    "hi": ["“क्या वाल्व तैयार है?” फिसेल ने पूछा।", "एथदाल ने लिखा: “तार खो गया।”", "डॉ. वेल ने पंप (लगभग 20.3 कि.ग्रा., पृ. 15 देखें) देखा।", "लेंस शांत था ... और फिर टूट गया।"],
+    "hi": ["“क्या वाल्व तैयार है?” फिसेल ने पूछा।", "एथदाल ने लिखा: “तार खो गया।”", "डॉ. वेल ने पंप (लगभग 20.3 कि.ग्रा., पृ. 15 देखें) देखा।", "लेंस शांत था ... और फिर टूट गया।", "गुंबद का रेखाचित्र चि. 2110 और क्र. 44 में देखें।"],
     "ar": ["يبدأ البطارية ثانية في 7:56 م.", "فحص الفريق السلك والقرص إلخ.", "قارن د. لينتا بين الجهاز والعدسة.", "«هل الطاولة جاهز؟» سأل دروتافي.", "كتب أوردرو: «ضاع السلك.»", "لماذا توقف الصمام؟"],
     "th": ["คุณดาลรีลงนามในรายงานเวลา 12:33 น. ที่จูโดรดาล", "เบอร์นีตะโกนว่า “หยุด!” แล้วหัววัดก็เงียบไป", "ชิ้นส่วนต่าง ๆ เช่นแบตเตอรี่ต้องพักประมาณ 3730 ชั่วโมง", "ทีมงานตรวจสายไฟและเลนส์ ฯลฯ", "จานเงียบอยู่นานแล้ววาล์วก็เสีย", "เคมถามว่า “ชิปพร้อมหรือยัง” เมื่อวานนี้", "เลนส์หนักประมาณ 1.1 กก. และตั้งอยู่ข้างสายไฟ"],
 }
