@@ -12,6 +12,8 @@ from collections import OrderedDict
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyarrow import fs
 
 HASHES = 4
 BITS_PER_KEY = 16
@@ -27,8 +29,6 @@ def mix(key: np.ndarray, salt: np.ndarray) -> np.ndarray:
 
 
 def open_fs(uri: str):
-    from pyarrow import fs
-
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else uri.replace("file:", "file://", 1))
 
 
@@ -125,16 +125,14 @@ class Reader:
 
     def __init__(self, layout: Layout, uri: str, keep: int = 6):
         self.layout, self.keep = layout, keep
-        self.fs, self.base = open_fs(uri)
+        self.store, self.base = open_fs(uri)
         self.held: OrderedDict[int, dict] = OrderedDict()
 
     def _file(self, f: int) -> dict:
         if f in self.held:
             self.held.move_to_end(f)
             return self.held[f]
-        import pyarrow as pa
-
-        with self.fs.open_input_file(f"{self.base}/f{f}.arrow") as src:
+        with self.store.open_input_file(f"{self.base}/f{f}.arrow") as src:
             t = pa.ipc.open_stream(src).read_all()
         self.held[f] = dict(zip(t["shard"].to_pylist(), zip(t["once"].to_pylist(), t["again"].to_pylist())))
         if len(self.held) > self.keep:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,8 +87,6 @@ def matrix_times(px: DataFrame, matrix: DataFrame, image: str = "image_id") -> D
 
 def destreak_matrix(n: int, exposure: float, readout: float, reset: float):
     """Inverse of the matrix with the exposure on the diagonal, the readout below and the reset above it."""
-    import numpy as np
-
     m = np.full((n, n), float(exposure))
     m[np.tril_indices(n, -1)] = readout
     m[np.triu_indices(n, 1)] = reset

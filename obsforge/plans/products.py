@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -186,9 +188,6 @@ def gamma_scaled(spark, d):
 @query()
 def motion_filtered(spark, d):
     """Cubes of eight successive images, cut in frequency between two speeds."""
-    import numpy as np
-    import pandas as pd
-
     e = load(spark, d, "embeddings").select(F.col("vec_id").alias("image_id"), F.floor(F.col("vec_id") / 8).alias("cube"), "embedding")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

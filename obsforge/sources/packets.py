@@ -12,6 +12,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,8 +79,6 @@ def unpack_bits(data: bytes, width: int, little: bool = False) -> list[int]:
 
 def mask_pixels(data: bytes, ny: int, nx: int):
     """Packed bits of a mask stored column by column, as a boolean image."""
-    import numpy as np
-
     return np.unpackbits(np.frombuffer(data, np.uint8), count=ny * nx).reshape(nx, ny).T.astype(bool)
 
 
