@@ -39,17 +39,20 @@ def shared_dir(spark: SparkSession) -> str:
     """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("obsforge.shared.dir", None)
     if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="obsforge-")
+        where = "file://" + os.path.abspath(tempfile.mkdtemp(prefix="obsforge-"))
         spark.conf.set("obsforge.shared.dir", where)
     return where.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    where = shared_dir(spark)
-    if "://" not in where and not where.startswith("file:"):
-        where = "file://" + os.path.abspath(where) if where.startswith(("/", ".")) else where
-    return f"{where}/obsforge/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, with its file system named."""
+    where = f"{shared_dir(spark)}/obsforge/{name}-{uuid.uuid4().hex}"
+    if "://" in where:
+        return where
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(where)
+    full = path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
