@@ -14,9 +14,11 @@
    size, reaches the driver for orthogonalisation.
 4. Passages are compared with the item passages by cosine in that subspace; the
    cutoff is calibrated on the items alone, as a fraction of the lowest cosine
-   between an item passage and any bare run of it.
-5. A candidate pair counts if the two passages share a common substring of the
-   required length (the answer check of the longest common run).
+   between an item passage and any bare run of it.  No cosine bounds that of two
+   passages which share a run and differ in the rest (the rarer the rest, the lower
+   it is), so the pairs below the cutoff are looked up by the hashes of their runs.
+5. A candidate pair of either way counts if the two passages share a common substring
+   of the required length (the answer check of the longest common run).
 
 Defined cases: null and blank texts contain nothing; items shorter than the run
 have no cases; repeated documents give each pair once; a document with one item
@@ -63,6 +65,20 @@ def grams(text: str) -> np.ndarray:
     return h
 
 
+def run_keys(text: str, run: int) -> np.ndarray:
+    """One 64-bit number for the run that begins at each position, mixed from grams that cover it."""
+    h = grams(text)
+    n = len(text) - run + 1
+    if n < 1:
+        return np.empty(0, np.uint64)
+    out = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in [*range(0, run - GRAM, GRAM), run - GRAM]:
+            out = (out ^ h[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+    return out
+
+
 def windows(n: int, run: int) -> Iterator[tuple[int, int]]:
     """Passages of two runs, one run apart: any stretch of one run lies within one of them."""
     for a in range(0, max(1, n - run + 1), run):
@@ -102,6 +118,29 @@ class Side:
                     yield part[x:y]
 
 
+class Runs:
+    """The runs of one side's item passages by hash: exact, whatever the cosine."""
+
+    def __init__(self, side: Side):
+        self.side = side
+        found = [np.unique(run_keys(t, side.run)) for t in side.text]
+        key, at = np.concatenate(found), np.repeat(np.arange(len(found)), [len(k) for k in found])
+        order = np.argsort(key, kind="stable")
+        self.key, self.at = key[order], at[order]
+
+    def near(self, text: str) -> np.ndarray:
+        """Numbers of the item passages that have a run's hash in common with the text."""
+        mine = np.unique(run_keys(text, self.side.run))
+        a, b = np.searchsorted(self.key, mine, "left"), np.searchsorted(self.key, mine, "right")
+        some = [self.at[x:y] for x, y in zip(a, b) if y > x]
+        return np.unique(np.concatenate(some)) if some else np.empty(0, np.int64)
+
+    def share(self, text: str, j: int) -> bool:
+        """Whether the text and item passage ``j`` have a run in common."""
+        run, other = self.side.run, self.side.text[j]
+        return any(text[x : x + run] in other for x in range(len(text) - run + 1))
+
+
 class Space:
     """TF-IDF rows of one side's vocabulary, seen through a (features x rank) matrix.
 
@@ -269,15 +308,14 @@ def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
 
             def retrieve(batches, shared=shared):
                 side, idf, basis, at, low = shared.value
-                run, space = side.run, Space(side, idf, basis)
-                runs = [{t[a : a + run] for a in range(len(t) - run + 1)} for t in side.text]
+                space, runs = Space(side, idf, basis), Runs(side)
                 for pdf in batches:
                     out = []
                     for texts in in_batches(pdf["passage"].tolist()):
                         near = unit(space.embed(texts)) @ at.T >= low
                         for r, t in enumerate(texts):
-                            mine = {t[x : x + run] for x in range(len(t) - run + 1)}
-                            hits = {side.ids[j] for j in np.flatnonzero(near[r]) if not mine.isdisjoint(runs[j])}
+                            candidates = np.union1d(np.flatnonzero(near[r]), runs.near(t))
+                            hits = {side.ids[j] for j in candidates if runs.share(t, j)}
                             out += [(i, t) for i in sorted(hits)]
                     yield pd.DataFrame(out, columns=["item_id", "passage"])
 

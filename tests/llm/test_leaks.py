@@ -41,6 +41,31 @@ def test_against_brute_force(spark):
     assert len(got) > 30
 
 
+def test_run_shared_by_a_third_of_the_documents(spark):
+    """The run's weight falls with its frequency, the rare other half of each passage keeps its own."""
+    rng = random.Random(11)
+    zh = lambda n: "".join(chr(0x4E00 + rng.randint(0, 20000)) for _ in range(n))
+    common = zh(18)
+    items = [(i, zh(48)) for i in range(60)] + [(100 + k, zh(18) + common + zh(18)) for k in range(2)]
+    docs = [(1000 + i, zh(30) + (common if i % 3 == 0 else "") + zh(30)) for i in range(600)]
+    docs += [(5000 + k, zh(10) + t + zh(10)) for k, (_, t) in enumerate(items)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {tuple(r) for r in leaks.leaked(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute(docs, items)
+
+
+def test_pairs_below_the_cutoff_are_found(spark, monkeypatch):
+    """With a cutoff that no cosine reaches, the lookup by runs alone finds every pair."""
+    monkeypatch.setattr(leaks, "cutoff", lambda space, at: 2.0)
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choice(WORDS) + str(rng.randint(0, 99)) for _ in range(n))
+    items = [(i, text(20)) for i in range(10)]
+    docs = [(100 + i, text(10) + t[20:90] + text(10)) for i, t in items]
+    d, e = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items)
+    assert len(want) >= 10 and {tuple(r) for r in leaks.leaked(d, e).collect()} == want
+
+
 def test_empty(spark):
     d = spark.createDataFrame([], "doc_id long, text string")
     e = spark.createDataFrame([(1, "eine lange Frage über die Kuppel der Station und ihre Batterie")], "item_id long, text string")
