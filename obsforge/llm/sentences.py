@@ -33,6 +33,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsforge.llm import thai_words
+
 # Abbreviations that never end a sentence.
 ABBREVIATIONS = frozenset(
     """
@@ -58,24 +60,19 @@ DASHES = "—–―-"
 # German months, before which a day is an ordinal with a full stop.
 MONTHS = r"(?:Januar|Jänner|Februar|März|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember)\b"
 # Thai words after a blank that go on with the sentence.
-THAI_GOES_ON = frozenset("และ ที่ ของ แล้ว เช่น ๆ ใน เมื่อวานนี้ สำหรับ หรือ แต่ จึง ไว้ ฯลฯ ก็ ว่า ซึ่ง โดย เพื่อ กับ จาก ถึง ด้วย นั้น นี้ คน แผ่น ต้น".split())
+THAI_GOES_ON = frozenset("และ ที่ ของ แล้ว เช่น ๆ ใน เมื่อวานนี้ เมื่อวาน สำหรับ หรือ แต่ จึง ไว้ ฯลฯ ก็ ว่า ซึ่ง โดย เพื่อ กับ จาก ถึง ด้วย นั้น นี้".split())
 # Thai words that begin with one of those and yet open a sentence.
-THAI_OPENS = frozenset("ในการ ในขณะ แต่ละ ที่จริง ที่สุด ของขวัญ จากนั้น".split())
+THAI_OPENS = frozenset("ในการ ในขณะ แต่ละ ที่จริง ที่สุด จากนั้น".split())
 # Thai words that need more on their right.
-THAI_OPEN_END = frozenset("ว่า ที่ เวลา และ หรือ ของ ใน กับ จาก ถึง เพราะ ถ้า แต่ ประมาณ เพียง หมายเลข รูปที่ รุ่น แฟ้ม ต่าง คือ เป็น ด้วย โดย".split())
-# A small Thai dictionary for the word lattice.
-THAI_WORDS = frozenset(
-    """
-    การ ความ คน ของ ที่ และ ใน ไม่ มี เป็น ได้ ว่า ให้ จะ กับ ไป มา ก็ แล้ว นี้ นั้น อยู่ จาก แต่ หรือ ถ้า เพราะ จึง ถึง ต้อง เมื่อ โดย ซึ่ง ด้วย
-    อย่าง ทุก กว่า ยัง เช่น ต่าง ประมาณ เพียง เท่านั้น ทั้งหมด ทำไม ใคร คิด เสีย หมุน รอบ ล้าง ถูก ย้าย ส่ง ชิ้น ตัวอย่าง หยุด ใกล้ ห้าม เปิด ปิด
-    ระหว่าง พายุ เด็ดขาด ทีมงาน ตรวจ ฯลฯ บันทึก ภาพ สถานี ก่อน แฟ้ม รุ่น ใช้ แทน เก่า ชิ้นส่วน พัก ชั่วโมง เลนส์ หนัก ตั้ง ข้าง กก น คุณ ลงนาม
-    รายงาน เวลา ดร เปรียบเทียบ ดู รูป รูปที่ หมายเลข สำหรับ แบบ จาน เงียบ นาน เขียน หาย ไป เบี่ยง องศา ขณะ ร้อน ตะโกน ถาม พร้อม หรือยัง
-    เมื่อวานนี้ วันนี้ เริ่ม ใหม่ ทดสอบ ชนะ คะแนน แต้ม เดิม แม้ ขอ ไว้ เดินทาง เดิน ผ่าน เสา ต้น ไหน หยิบ แผ่น กรัม บัตร พิมพ์ ตัว เล็ก มาก ในการ
-    แบตเตอรี่ สายไฟ วาล์ว ปั๊ม โต๊ะ โดม ชิป ตะเกียง หัววัด เครื่องมือ ครับ ค่ะ คะ นะ ไหม เลย จ้ะ แหละ ล่ะ สิ เถอะ แต่ละ จากนั้น ที่จริง
-    """.split()
-)
+THAI_OPEN_END = frozenset("ว่า ที่ เวลา และ หรือ ของ ใน กับ จาก ถึง เพราะ ถ้า แต่ ประมาณ เพียง หมายเลข รูปที่ รุ่น แฟ้ม ต่าง คือ เป็น ด้วย โดย เพื่อ ซึ่ง".split())
+# Thai words that open a subordinate clause, and those that show that its main clause is there.
+THAI_SUBORDINATE = frozenset("ถ้า หาก เมื่อ เพราะ เนื่องจาก แม้ แม้ว่า ถ้าหาก ขณะที่ ก่อนที่ หลังจาก".split())
+THAI_ANSWERS = ("จึง", "ก็", "แล้ว", "เลย")
 # Thai particles that close a sentence.
 THAI_FINAL = frozenset("ครับ ค่ะ คะ นะ ไหม เลย จ้ะ ล่ะ สิ เถอะ ฯลฯ เท่านั้น แหละ หรือยัง".split())
+# The dictionary of the word lattice: a general one, and the function words above.
+THAI_WORDS = thai_words.WORDS | {w for w in THAI_GOES_ON | THAI_OPENS | THAI_OPEN_END | THAI_SUBORDINATE | THAI_FINAL if len(w) > 1}
+THAI_LONGEST = max(map(len, THAI_WORDS))
 # Chinese verbs of saying that may follow a quotation, and Japanese particles that go on after one.
 ZH_SAYS = regex.compile(r"[^。！？\n]{0,40}?(?:问道|喊道|说道|叫道|答道|写道|问|说|喊|叫|道)(?:[，。：！？,]|$)")
 JA_AFTER_QUOTE = "とはがをにのでもやへ、，"
@@ -92,7 +89,7 @@ HAN_KANA = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー]")
 CASED = regex.compile(r"[\p{Latin}\p{Greek}\p{Cyrillic}\p{Armenian}]")
 
 
-def words(chunk: str, dictionary: frozenset[str] = THAI_WORDS, longest: int = 14) -> list[str]:
+def words(chunk: str, dictionary: frozenset[str] = THAI_WORDS, longest: int = THAI_LONGEST) -> list[str]:
     """Least-cost path through the word lattice: a known word costs 1, an unknown character 1.5."""
     n = len(chunk)
     cost, back = [0.0] + [1e18] * n, [0] * (n + 1)
@@ -251,7 +248,7 @@ class Paragraph:
             return bool(closed and right[:1] in OPENERS) if not a else bool(right[:1] in OPENERS and words(a[0])[-1] in THAI_FINAL)
         head = words(b[0])[0]
         opens = any(b[0].startswith(w) for w in THAI_OPENS)
-        if not opens and (head in THAI_GOES_ON or any(b[0].startswith(w) and len(w) > 2 for w in ("และ", "ของวัน", "แล้ว", "เมื่อวาน", "ไว้", "ในรายงาน", "เช่น"))):
+        if not opens and (head in THAI_GOES_ON or any(b[0].startswith(w) and len(w) > 2 for w in ("และ", "แล้ว", "ไว้", "เช่น"))):
             return False
         if closed:
             return True
@@ -259,6 +256,11 @@ class Paragraph:
             return False  # a number, a name in other letters, or a mark stands before
         if a[0].endswith("."):
             return False
+        if len(b[0]) == len(head) and head in THAI_WORDS and head not in THAI_FINAL and regex.match(r"\s+\p{Thai}|\s*$", t[nxt + len(b[0]) :]):
+            return False  # a lone word between blanks is a member of a list, no clause
+        so_far = regex.match(r"\p{Thai}+", t[start:e])
+        if so_far and len(so_far[0]) == e - start and any(so_far[0].startswith(w) for w in THAI_SUBORDINATE) and not any(w in words(so_far[0]) for w in THAI_ANSWERS):
+            return False  # a subordinate clause that still waits for its main clause
         tail = words(a[0])[-1]
         return tail not in THAI_OPEN_END
 

@@ -66,3 +66,13 @@ def test_leading_white_space(text):
 def test_word_lattice():
     assert words("ในรายงาน") == ["ใน", "รายงาน"]
     assert "".join(words("กขคงเวลาจฉช")) == "กขคงเวลาจฉช" and "เวลา" in words("กขคงเวลาจฉช")
+
+
+def test_thai_outside_the_test_tables():
+    """Lists and clauses of ordinary words: the words beside a blank are found in a general dictionary."""
+    cut = lambda t: [t[b:e] for b, e in sentences(t)]
+    for one in ("เราซื้อมะม่วง กล้วย และส้มที่ตลาด", "แม่ซื้อผัก ผลไม้ ปลา และไข่", "เมื่อฝนตกหนัก เราจะกลับบ้าน", "เขาไปตลาดเพื่อ ซื้อของ"):
+        assert cut(one) == [one]
+    for two in ("นักเรียนอ่านหนังสือ ครูเขียนกระดาน", "ประชาชนเลือกตั้ง ของขวัญวางบนโต๊ะ"):
+        assert cut(two) == two.split(" ")
+    assert words("นักเรียนอ่านหนังสือ") == ["นักเรียน", "อ่าน", "หนังสือ"]
