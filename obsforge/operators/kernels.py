@@ -54,8 +54,8 @@ def motion_filter(cube: np.ndarray, slowest: float, fastest: float) -> np.ndarra
     return np.real(np.fft.ifftn(np.fft.fftn(cube) * keep))
 
 
-def gram(images: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """(sum of x x', sum of x, n) over all images: a matrix of pixels squared, added up per task, then by row block."""
+def gram_sums(images: DataFrame) -> DataFrame:
+    """(row, col, v): sums over all images of the products of their pixels, with a last row and column of ones; added up per task, then by cell."""
 
     def part(batches):
         total = None
@@ -69,8 +69,12 @@ def gram(images: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
             yield pd.DataFrame({"row": range(len(total)), "v": list(total)})
 
     parts = images.select("data").mapInPandas(part, "row int, v array<double>")
-    at = parts.select("row", F.posexplode("v").alias("col", "v")).groupBy("row", "col").agg(F.sum("v").alias("v"))
-    got = at.toPandas()  # pixels squared numbers, whatever number of images
+    return parts.select("row", F.posexplode("v").alias("col", "v")).groupBy("row", "col").agg(F.sum("v").alias("v"))
+
+
+def gram(images: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """(sum of x x', sum of x, n) over all images: a matrix of pixels squared."""
+    got = gram_sums(images).toPandas()  # pixels squared numbers, whatever number of images
     size = int(got["row"].max()) + 1 if len(got) else 1
     m = np.zeros((size, size))
     m[got["row"], got["col"]] = got["v"]
