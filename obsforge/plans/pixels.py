@@ -239,6 +239,15 @@ def stack_sort(spark, d):
     return few.groupBy("obs", "y", "x").agg(F.transform(F.array_sort(F.collect_list("v")), lambda v: F.round(v, 6)).alias("dimmest"))
 
 
+@query(PX + """SELECT obs, y, x, image_id, CAST(row_number() OVER (PARTITION BY obs, y, x ORDER BY bad, v, image_id) AS INTEGER) AS rank, CASE WHEN NOT bad THEN round(v, 6) END AS v
+FROM (SELECT * REPLACE (CASE WHEN NOT bad THEN v END AS v) FROM px)""")
+def stack_sorted(spark, d):
+    """The whole stack of each pixel in order, masked values last, in the long form: no stack is gathered."""
+    px = pixels(spark, d).withColumn("v", F.when(~F.col("bad"), F.col("v")))
+    rank = F.row_number().over(Window.partitionBy("obs", "y", "x").orderBy("bad", F.asc_nulls_last("v"), "image_id"))
+    return px.select("obs", "y", "x", "image_id", rank.alias("rank"), r6(F.col("v"), "v"))
+
+
 @query(PX + """SELECT y, x, round(avg(v) FILTER (WHERE NOT bad), 6) AS mean, round(sqrt(sum(unc * unc) FILTER (WHERE NOT bad)) / count(*) FILTER (WHERE NOT bad), 6) AS sigma FROM px GROUP BY y, x""")
 def masked_mean(spark, d):
     good = ~F.col("bad")
