@@ -1,9 +1,11 @@
 """Mixed timestamp formats and time zones to one UTC instant.
 
 A text becomes its shape mask: digits turn to 9, runs of letters to A, all else
-stays.  Each distinct mask is given a parser once (per worker), or none; the
-texts of one mask are cut by that parser and converted together, with numpy and
-through zone transition tables of one stated version.
+stays.  Each distinct mask of a batch is given the parser of its first text, or none.
+As words of any length have one mask, that parser need not fit the mask's other texts:
+those that it doesn't fit as a whole are tried with each of the other parsers.  The
+texts of one parser are converted together, with numpy and through zone transition
+tables of one stated version.
 
 Defined cases: null, empty and blank texts and words denote no instant; white
 space around and letter case play no part; texts without a zone are UTC; slashed
@@ -12,7 +14,7 @@ than a microsecond are cut; a weekday must fit its date; hours over 23, second 6
 days or months that do not exist denote none; a local time that its zone skips or
 repeats denotes none, unless an offset or a zone abbreviation fixes it; an
 abbreviation of unknown or disputed meaning denotes none; an offset and a zone
-name that contradict each other denote none.  Very long texts (over 80 characters after trimming) are none.
+name that contradict each other denote none.  Texts may have any length.
 """
 
 from __future__ import annotations
@@ -35,7 +37,6 @@ ABBREVIATIONS = {
 }
 MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
 DAYS = {d: i for i, d in enumerate("mon tue wed thu fri sat sun".split())}
-LONGEST = 80
 
 TIME = r"(?P<h>\d{1,2}):(?P<mi>\d\d)(?::(?P<s>\d\d)(?:[.,](?P<f>\d+))?)?"
 ZONE = r"\s*(?P<z>z|[+-]\d\d(?::?\d\d)?|[a-z]{2,5}(?![a-z_/])(?:[+-]\d\d:?\d\d)?)?\s*(?P<iana>\[[a-z_+\-0-9/]+\]|[a-z_]+(?:/[a-z_+\-0-9]+)+)?"
@@ -52,7 +53,7 @@ SHAPES = {
     "epoch_ms": r"(?P<ems>\d{13})",
     "epoch_us": r"(?P<eus>\d{16})",
 }
-COMPILED = {k: re.compile(v, re.ASCII) for k, v in SHAPES.items()}
+COMPILED = {k: re.compile(rf"\A(?:{v})\Z", re.ASCII) for k, v in SHAPES.items()}
 
 
 def mask(text: str) -> str:
@@ -60,9 +61,8 @@ def mask(text: str) -> str:
     return re.sub(r"[a-z_]+", "A", re.sub(r"\s+", " ", re.sub(r"\d", "9", text)))
 
 
-@lru_cache(65536)
-def parser(shape: str, sample: str) -> str | None:
-    """The parser of a mask, found with one text of it; which shape fits depends on the mask alone."""
+def parser(sample: str) -> str | None:
+    """The parser that fits a text as a whole; no text fits two."""
     return next((k for k, rx in COMPILED.items() if rx.fullmatch(sample)), None)
 
 
@@ -75,16 +75,17 @@ def _ints(col: pd.Series, missing: int = 0) -> np.ndarray:
     return pd.to_numeric(col, errors="coerce").fillna(missing).astype(np.int64).to_numpy()
 
 
-def convert(texts: pd.Series, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """(microseconds, whether there are such) of texts that have the given shape."""
+def convert(texts: pd.Series, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(microseconds, whether there are such, whether the text has the given shape)."""
     g = texts.str.extract(COMPILED[kind])
     n = len(g)
+    fits = g.notna().any(axis=1).to_numpy()
     col = lambda c: g[c] if c in g else pd.Series([None] * n, index=g.index, dtype=object)
     micro = _ints(col("f").fillna("").str.slice(0, 6).str.pad(6, "right", "0"))
     if kind.startswith("epoch"):
         if kind == "epoch_s":
-            return _ints(col("es")) * 1_000_000 + micro, np.ones(n, bool)
-        return (_ints(col("ems")) * 1000 if kind == "epoch_ms" else _ints(col("eus"))), np.ones(n, bool)
+            return _ints(col("es")) * 1_000_000 + micro, fits, fits
+        return (_ints(col("ems")) * 1000 if kind == "epoch_ms" else _ints(col("eus"))), fits, fits
     y, h, mi, s = _ints(col("y")), _ints(col("h")), _ints(col("mi")), _ints(col("s"))
     mo = _ints(col("mo"), 1) if "mo" in g else _ints(col("mon").map(MONTHS)) if "mon" in g else np.ones(n, np.int64)
     d = _ints(col("d"), 1)
@@ -125,10 +126,10 @@ def convert(texts: pd.Series, kind: str) -> tuple[np.ndarray, np.ndarray]:
         u, one = zones.to_utc(local[i], zone)
         free = ~fixed[i]
         table, offs = zones.transitions(zone)
-        fits = offs[np.searchsorted(table, utc[i], side="right") - 1] == local[i] - utc[i]
-        ok[i] &= np.where(free, one, fits)
+        agree = offs[np.searchsorted(table, utc[i], side="right") - 1] == local[i] - utc[i]
+        ok[i] &= np.where(free, one, agree)
         utc[i] = np.where(free, u, utc[i])
-    return utc * 1_000_000 + micro, ok
+    return utc * 1_000_000 + micro, ok & fits, fits
 
 
 @lru_cache(4096)
@@ -145,16 +146,26 @@ def normalise(texts: pd.Series) -> pd.Series:
     """Microseconds since 1970 UTC, or null, of each text."""
     out = pd.Series(pd.array([pd.NA] * len(texts), dtype="Int64"), index=texts.index)
     t = texts.dropna().str.strip()
-    t = t[(t != "") & (t.str.len() <= LONGEST)].str.lower()
+    t = t[t != ""].str.lower()
+    t = t.str.replace(r"[ \t\n\r\f\v]{3,}", "  ", regex=True)  # to the shapes two blanks are as good as more
     if t.empty:
         return out
     codes, masks = pd.factorize(t.map(mask))
     heads = t.iloc[np.unique(codes, return_index=True)[1]]
-    kinds = np.array([parser(m, x) or "" for m, x in zip(masks, heads)], dtype=object)[codes]
-    for kind in set(kinds) - {""}:
-        part = t[kinds == kind]
-        us, ok = convert(part, kind)
+    kinds = np.array([parser(x) or "" for x in heads], dtype=object)[codes]
+    rest = [t[kinds == ""]]
+
+    def by(kind: str, part: pd.Series) -> pd.Series:
+        us, ok, fits = convert(part, kind)
         out.loc[part.index[ok]] = us[ok]
+        return part[~fits]
+
+    for kind in set(kinds) - {""}:
+        rest.append(by(kind, t[kinds == kind]))
+    left = pd.concat(rest)
+    for kind in COMPILED:
+        if len(left):
+            left = by(kind, left)
     return out
 
 

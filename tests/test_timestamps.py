@@ -91,3 +91,16 @@ def test_transition_tables(zone):
         both = {naive.replace(tzinfo=z, fold=f).utcoffset() for f in (0, 1)}
         assert ok == (len(both) == 1), (zone, naive)
         assert not ok or g == u
+
+
+def test_a_masks_first_text_decides_for_no_other():
+    for first in ("2025-10-05 01:02:03 unknown", "2025-10-05 01:02:03 utc"):
+        got = ts.normalise(pd.Series([first, "2025-10-05 01:02:03 UTC", "2025-10-05 01:02:03 CET", "2025-10-05 01:02:03 unknown"]))
+        assert got[1:3].tolist() == [us(2025, 10, 5, 1, 2, 3), us(2025, 10, 5, 0, 2, 3)] and got[3:].isna().all()
+    got = ts.normalise(pd.Series(["5 sept 2025 01:02:03", "5 sep 2025 01:02:03"]))
+    assert pd.isna(got[0]) and got[1] == us(2025, 9, 5, 1, 2, 3)
+
+
+def test_texts_of_any_length():
+    got = ts.normalise(pd.Series(["2025-10-05T01:02:03." + "123456789" * 2000 + "Z", "2025-10-05 01:02:03" + " " * 50_000 + "CET", "2025-10-05 01:02:03" + " " * 50_000 + "?", "x" * 100_000]))
+    assert got[:2].tolist() == [us(2025, 10, 5, 1, 2, 3, micro=123456), us(2025, 10, 5, 0, 2, 3)] and got[2:].isna().all()
