@@ -129,4 +129,13 @@ def upload_batches(spark, d):
     return a.groupBy("observatory", "file_type").agg(F.min("file_id").alias("lowest"), F.count("*").alias("n"))
 
 
+@query(with_(FILES) + """SELECT observatory, file_type, (row_number() OVER (PARTITION BY observatory, file_type ORDER BY date_beg DESC NULLS LAST, file_id) - 1) // 5 + 1 AS batch, file_id
+FROM f WHERE level = '3' AND state = 'created'""")
+def upload_batch_files(spark, d):
+    """All ready products of each kind in successive batches of five, the newest first, those without a date last."""
+    w = Window.partitionBy("observatory", "file_type").orderBy(F.desc_nulls_last("date_beg"), "file_id")
+    ready = files(spark, d).where("level = '3' AND state = 'created'")
+    return ready.select("observatory", "file_type", (F.floor((F.row_number().over(w) - 1) / 5) + 1).alias("batch"), "file_id")
+
+
 QUERIES = Q
