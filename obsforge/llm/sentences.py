@@ -3,17 +3,16 @@
 Every text is cut at paragraph breaks (an empty line) and, within a paragraph, at
 candidate gaps.  Candidates are the ends of terminator runs (with the closing
 quotes and brackets that follow) and, in Thai, the white space between words.
-Each candidate is a node of a lattice whose two arcs, *end* and *go on*, have
-additive costs; as the costs of a node depend only on its surroundings, the best
-path is the cheaper arc of each node.
+Each candidate is judged from its surroundings alone.
 
-* Spaced scripts (terminator lattice): abbreviations, initials, decimals,
-  ellipses, what follows (lower case, digit, opening mark), and whether the mark
-  lies inside a quotation or bracket that belongs to a larger sentence.
-* Spaceless scripts (Han, Kana, Thai): the words on both sides of the gap are
-  found through a dictionary word lattice (least cost, unknown stretches allowed)
-  and the gap is classified by final particles and by words that open or go on
-  with a sentence.
+* Spaced scripts, Han and Kana (rules at end marks): abbreviations, initials,
+  decimals, ellipses, what follows (lower case, digit, opening mark), and whether the
+  mark lies inside a quotation or bracket that belongs to a larger sentence, with
+  verbs of saying and particles after quotations for Chinese and Japanese.  Without
+  an end mark no sentence of these ends within a paragraph.
+* Thai: the words on both sides of the gap are found through a dictionary word
+  lattice (least cost, unknown stretches allowed) and the gap is classified by final
+  particles and by words that open or go on with a sentence.
 
 The script is judged at each gap, not by the row's language code.
 
