@@ -60,13 +60,12 @@ def p4_cutoffs(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     got = timestamps.instants(load(spark, d, "files"), "file_id", ["date_created", "date_obs"])
-    return got.where("utc_us IS NOT NULL AND id IS NOT NULL").select(F.col("id").alias("file_id"), "field_name", "utc_us").distinct()
+    return got.withColumnRenamed("id", "file_id").distinct()
 
 
 def p5_rejected(spark: SparkSession, d: str) -> DataFrame:
     """How often each text that denotes no one instant occurs, per field."""
-    got = timestamps.instants(load(spark, d, "files"), "file_id", ["date_created", "date_obs"])
-    return got.where("utc_us IS NULL").groupBy("field_name", "text").agg(F.count("*").alias("n"))
+    return timestamps.rejected(load(spark, d, "files"), ["date_created", "date_obs"])
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

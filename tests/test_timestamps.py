@@ -43,6 +43,13 @@ CASES = {
     "2024-02-29 00:00:00": us(2024, 2, 29),
     "2024-366T00:00:00Z": us(2024, 12, 31),
     "2025-10-26T02:30:00+02:00[Europe/Berlin]": us(2025, 10, 26, 0, 30),
+    "Sun, 30 June 2024 10:00:00 GMT": us(2024, 6, 30, 10),
+    "Sunday, 30 Jun 2024 10:00:00 GMT": us(2024, 6, 30, 10),
+    "10/05/2025 11:29:17 UT": us(2025, 10, 5, 11, 29, 17),
+    "1969-07-20 12:00:00 America/New_York": us(1969, 7, 20, 16),
+    "2150-07-01 12:00:00 America/New_York": us(2150, 7, 1, 16),
+    "2024-01-01 10:00:00." + "123456789" * 8: us(2024, 1, 1, 10, micro=123456),
+    "2024-01-01 10:00:00Z Europe/London": us(2024, 1, 1, 10),
     # Not one instant:
     "2025-10-26 02:30:00 Europe/Berlin": None,  # twice
     "2026-03-29 02:30:00 Europe/Berlin": None,  # never
@@ -58,6 +65,12 @@ CASES = {
     "13/01/2025 10:00:00 AM UTC": None,
     "01/02/2025 13:00:00 PM UTC": None,
     "2025-10-04 10:00:00 XYZ": None,
+    "2025-10-04X10:00:00": None,
+    "2025-10-04 10:00:00X": None,
+    "10/05/2025 11:29:17 XX": None,
+    "10/05/2025 11:29:17 UT CET": None,
+    "2024-01-01 10:00:00 tomorrow": None,
+    "5 Sep 2025 01:02:03 unknown": None,
     "2025-10-04 10:00:00 Mars/Olympus": None,
     "": None, "   ": None, "-": None, "TBD": None, "N/A": None, "unknown": None, "x" * 100_000: None,
 }
@@ -70,10 +83,12 @@ def test_one_by_one(text):
 
 
 def test_all_together(spark):
-    df = spark.createDataFrame([(i, t, None, "m") for i, t in enumerate([*CASES, None])], "file_id long, date_created string, date_obs string, mask string")
-    got = {r.id: r.utc_us for r in ts.instants(df, "file_id", ["date_created", "date_obs"]).collect()}
-    assert got == dict(enumerate(CASES.values()))
-    assert ts.instants(df.limit(0), "file_id", ["date_created", "date_obs"]).count() == 0
+    df = spark.createDataFrame([(i, t, None, "m") for i, t in enumerate([*CASES, None])] + [(None, "2025-10-05", None, "m")], "file_id long, date_created string, date_obs string, mask string")
+    fields = ["date_created", "date_obs"]
+    got = {(r.id, r.field_name): r.utc_us for r in ts.instants(df, "file_id", fields).collect()}
+    assert got == {(i, "date_created"): v for i, v in enumerate(CASES.values()) if v is not None}
+    assert ts.instants(df.limit(0), "file_id", fields).count() == 0 == ts.rejected(df.limit(0), fields).count()
+    assert {r.text for r in ts.rejected(df, fields).collect()} == {t for t, v in CASES.items() if v is None}
 
 
 @pytest.mark.parametrize("zone", ["Europe/Berlin", "America/Denver", "Australia/Sydney", "Asia/Kolkata", "Australia/Lord_Howe", "Pacific/Apia"])
@@ -93,12 +108,39 @@ def test_transition_tables(zone):
         assert not ok or g == u
 
 
-def test_a_masks_first_text_decides_for_no_other():
-    for first in ("2025-10-05 01:02:03 unknown", "2025-10-05 01:02:03 utc"):
-        got = ts.normalise(pd.Series([first, "2025-10-05 01:02:03 UTC", "2025-10-05 01:02:03 CET", "2025-10-05 01:02:03 unknown"]))
-        assert got[1:3].tolist() == [us(2025, 10, 5, 1, 2, 3), us(2025, 10, 5, 0, 2, 3)] and got[3:].isna().all()
-    got = ts.normalise(pd.Series(["5 sept 2025 01:02:03", "5 sep 2025 01:02:03"]))
-    assert pd.isna(got[0]) and got[1] == us(2025, 9, 5, 1, 2, 3)
+def test_no_text_depends_on_those_beside_it():
+    texts = [*CASES, "2025-10-05 01:02:03 unknown", "2025-10-05 01:02:03 UTC", "2025-10-05 01:02:03 CET", "5 sept 2025 01:02:03", "5 sep 2025 01:02:03"]
+    alone = [ts.normalise(pd.Series([t]))[0] for t in texts]
+    assert alone[-4:] == [us(2025, 10, 5, 1, 2, 3), us(2025, 10, 5, 0, 2, 3), us(2025, 9, 5, 1, 2, 3), us(2025, 9, 5, 1, 2, 3)] and alone[-5] is pd.NA
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        p = rng.permutation(len(texts))
+        got = ts.normalise(pd.Series([texts[i] for i in p]))
+        assert [x is pd.NA and alone[i] is pd.NA or x == alone[i] for x, i in zip(got, p)].count(False) == 0
+
+
+def test_no_mask_fits_two_shapes():
+    for t in CASES:
+        mask = "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in " ".join(t.lower().split()))
+        assert sum(rx.match(mask) is not None for rx in ts.COMPILED.values()) <= 1, t
+
+
+def test_many_texts_of_all_years_against_the_library():
+    rng = np.random.default_rng(9)
+    names = ["Europe/Berlin", "America/New_York", "Australia/Sydney", "Africa/Casablanca", "Europe/Dublin", "America/Nuuk", "Asia/Kathmandu", "Pacific/Apia", "America/Sao_Paulo", "Asia/Gaza", "Antarctica/Troll"]
+    texts, want = [], []
+    for _ in range(50_000):
+        zone = ZoneInfo(str(rng.choice(names)))
+        naive = dt.datetime(1900, 1, 1) + dt.timedelta(seconds=int(rng.integers(0, 301 * 365.2425 * 86400)), microseconds=int(rng.integers(0, 1_000_000)))
+        form = rng.integers(0, 4)
+        aware = [naive.replace(tzinfo=zone, fold=f) for f in (0, 1)]
+        one = aware[0].utcoffset() == aware[1].utcoffset()
+        texts.append((f"{naive.isoformat()}[{zone.key}]", f"{naive:%m/%d/%Y %I:%M:%S.%f %p} {zone.key}", f"{naive:%d.%m.%Y %H:%M:%S,%f} {zone.key}", f"{naive:%Y/%j-%H:%M:%S.%f} {zone.key}")[form])
+        delta = naive - aware[0].utcoffset() - dt.datetime(1970, 1, 1)
+        want.append((delta.days * 86400 + delta.seconds) * 1_000_000 + delta.microseconds if one else None)
+    got = ts.normalise(pd.Series(texts))
+    wrong = [(t, g, w) for t, g, w in zip(texts, got, want) if (g is pd.NA) != (w is None) or w is not None and g != w]
+    assert not wrong, (len(wrong), wrong[:5])
 
 
 def test_texts_of_any_length():
