@@ -1,8 +1,4 @@
-"""Sequences cut into chunks of bounded size, each with a halo of neighbouring rows.
-
-A sequence operator that looks at most ``halo`` rows back and ahead can then work
-chunk by chunk, so one entity with a third of all rows spreads over many tasks.
-"""
+"""The width of time chunks into which sequences are cut, so that one entity with a third of all rows spreads over many tasks."""
 
 from __future__ import annotations
 
@@ -34,27 +30,3 @@ def chunk_width(df: DataFrame, keys: Sequence[str], us: str, rows: int) -> int:
         if (df.groupBy(*keys, F.floor(F.col(us) / w)).count().agg(F.max("count")).collect()[0][0] or 0) <= rows:
             return w
     return WIDTHS_US[-1]
-
-
-def with_halo(df: DataFrame, keys: Sequence[str], us: str, tie: str, halo: int, width: int) -> DataFrame:
-    """``df`` with ``_chunk`` and ``_own``, and each chunk's ``halo`` preceding and following rows of the same keys (``_own`` false).
-
-    Order is (us, tie); tie must be unique within keys.  Only the rows at chunk edges are copied: at most 2·halo a chunk.
-    """
-    own = df.withColumn("_chunk", F.floor(F.col(us) / width))
-    part = Window.partitionBy(*keys, "_chunk")
-    cols = df.columns
-    edge = (
-        own.withColumn("_r", F.row_number().over(part.orderBy(us, tie)))
-        .withColumn("_s", F.row_number().over(part.orderBy(F.desc(us), F.desc(tie))))
-        .where((F.col("_r") <= halo) | (F.col("_s") <= halo))
-    )
-    row = F.struct(*[F.col(c) for c in cols])
-    seq = Window.partitionBy(*keys).orderBy(us, tie)
-    near = edge.select(
-        "_chunk", "_r", "_s",
-        F.when(F.col("_r") == 1, F.collect_list(row).over(seq.rowsBetween(-halo, -1))).alias("_before"),
-        F.when(F.col("_s") == 1, F.collect_list(row).over(seq.rowsBetween(1, halo))).alias("_after"),
-    )
-    copies = near.select("_chunk", F.explode(F.concat(F.coalesce("_before", F.array()), F.coalesce("_after", F.array()))).alias("_x"))
-    return own.withColumn("_own", F.lit(True)).unionByName(copies.select("_x.*", "_chunk", F.lit(False).alias("_own")))

@@ -55,7 +55,7 @@ def p4_flags(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_cutoffs(spark: SparkSession, d: str) -> DataFrame:
     """The fitted tail and cutoff of each host and field."""
-    return plausibility.pot_cutoffs(plausibility.analyse(load(spark, d, "health"))[1])
+    return plausibility.pot_cutoffs(plausibility.analyse(load(spark, d, "health")))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -119,6 +119,29 @@ lowest AS (SELECT up.start AS node, min(up.at) AS loop_id FROM up WHERE up.at IN
 nodes AS (SELECT node AS node_id, root AS root_id, CAST(depth AS INTEGER) AS node_depth, path AS node_path FROM down
           UNION ALL SELECT node, loop_id, CAST(-1 AS INTEGER), '' FROM lowest)
 """
+_P4 = """
+WITH cap AS (SELECT host, CASE WHEN abs(c - round(c)) <= 0.002 * c THEN round(c) ELSE c END AS capacity FROM (
+  SELECT host, median(memory_usage / memory_percentage * 100) AS c FROM health
+  WHERE memory_usage > 0 AND memory_percentage > 0 AND memory_percentage <= 100 AND memory_usage < 1e9 GROUP BY host)),
+r AS (SELECT h.health_id, h.host, epoch_us(datetime) AS us, field_name, v, v < 0 OR coalesce(v > CASE field_name WHEN 'memory_usage' THEN capacity ELSE 100 END, false) AS bad
+  FROM (SELECT health_id, host, datetime, 'cpu_usage' AS field_name, cpu_usage AS v FROM health UNION ALL SELECT health_id, host, datetime, 'memory_usage', memory_usage FROM health
+        UNION ALL SELECT health_id, host, datetime, 'disk_percentage', disk_percentage FROM health) h LEFT JOIN cap USING (host)
+  WHERE v IS NOT NULL AND NOT isnan(v) AND host IS NOT NULL AND datetime IS NOT NULL AND health_id IS NOT NULL),
+i AS (SELECT *, sum(new) OVER (PARTITION BY host, field_name ORDER BY us, health_id) AS island FROM (
+  SELECT *, CASE WHEN v = lag(v) OVER (PARTITION BY host, field_name ORDER BY us, health_id) THEN 0 ELSE 1 END AS new FROM r)),
+s AS (SELECT *, count(*) OVER (PARTITION BY host, field_name, island) >= 20 AS stuck FROM i),
+p AS (SELECT *, lag(v) OVER w AS l1, lag(v, 2) OVER w AS l2, lag(v, 3) OVER w AS l3, lead(v) OVER w AS n1, lead(v, 2) OVER w AS n2, lead(v, 3) OVER w AS n3, lag(stuck) OVER w AS lag_stuck
+  FROM s WHERE NOT bad WINDOW w AS (PARTITION BY host, field_name ORDER BY us, health_id)),
+u AS (SELECT host, field_name, median(round(abs(v - l1), 9)) AS usual FROM p WHERE l1 IS NOT NULL AND NOT stuck AND NOT lag_stuck GROUP BY host, field_name),
+h AS (SELECT health_id, field_name, host, greatest(0,
+  CASE WHEN l1 IS NOT NULL AND n1 IS NOT NULL THEN greatest(v - greatest(l1, n1), least(l1, n1) - v) END,
+  CASE WHEN l1 IS NOT NULL AND n2 IS NOT NULL THEN greatest(least(v, n1) - greatest(l1, n2), least(l1, n2) - greatest(v, n1)) END,
+  CASE WHEN l2 IS NOT NULL AND n1 IS NOT NULL THEN greatest(least(l1, v) - greatest(l2, n1), least(l2, n1) - greatest(l1, v)) END,
+  CASE WHEN l1 IS NOT NULL AND n3 IS NOT NULL THEN greatest(least(v, n1, n2) - greatest(l1, n3), least(l1, n3) - greatest(v, n1, n2)) END,
+  CASE WHEN l2 IS NOT NULL AND n2 IS NOT NULL THEN greatest(least(l1, v, n1) - greatest(l2, n2), least(l2, n2) - greatest(l1, v, n1)) END,
+  CASE WHEN l3 IS NOT NULL AND n1 IS NOT NULL THEN greatest(least(l2, l1, v) - greatest(l3, n1), least(l3, n1) - greatest(l2, l1, v)) END) AS height FROM p)
+SELECT health_id, field_name FROM s WHERE bad OR stuck
+UNION SELECT h.health_id, h.field_name FROM h JOIN u USING (host, field_name) WHERE height > 10 * usual"""
 _P6 = """
 WITH born AS (SELECT file_id AS child, min(date_beg) AS born FROM files GROUP BY file_id),
 found AS (
@@ -144,6 +167,7 @@ ORACLE = {
     "p1_kept": _P1 + "SELECT spacecraft_id, count(*) AS packets FROM sci_xfi WHERE id NOT IN (SELECT id FROM f WHERE id <> first_id) GROUP BY spacecraft_id",
     "p2_found": _P2 + "SELECT * FROM nodes",
     "p2_families": _P2 + "SELECT root_id, count(*) AS members, max(node_depth) AS max_depth, min(node_depth) < 0 AS looped FROM nodes GROUP BY root_id",
+    "p4_found": _P4,
     "p6_found": _P6 + "SELECT * FROM found",
     "p6_report": _P6 + "SELECT src_table, ref_month, count(*) AS orphan_rows, count(DISTINCT ref_key) AS missing_keys FROM found GROUP BY src_table, ref_month",
     "p7_found": _P7 + "SELECT * FROM found",

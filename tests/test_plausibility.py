@@ -3,7 +3,7 @@ import datetime as dt
 import numpy as np
 import pytest
 
-from obsforge.operators import ordered, plausibility
+from obsforge.operators import plausibility
 
 SCHEMA = "health_id long, datetime timestamp_ntz, cpu_usage double, memory_usage double, memory_percentage double, disk_usage double, disk_percentage double, num_pids int, host string, value double, us long"
 
@@ -56,10 +56,41 @@ def test_heights():
     assert plausibility.heights(np.array([3.0])).tolist() == [0]
 
 
-def test_halo_spans_sparse_chunks(spark):
-    df = spark.createDataFrame([("a", i * 1_000_000, i) for i in range(50)], "k string, us long, tie long")
-    got = ordered.with_halo(df, ["k"], "us", "tie", 7, 3_000_000).toPandas()
-    for c, g in got.groupby("_chunk"):
-        own = g[g._own].tie
-        lo, hi = own.min(), own.max()
-        assert sorted(g.tie) == list(range(max(0, lo - 7), min(49, hi + 7) + 1)), c
+def plainly(rows, stuck=20, factor=10):
+    """The rules by loops over one field."""
+    out, seq = set(), sorted((r[1], r[0], r[2]) for r in rows if r[2] is not None)
+    v = [x[2] for x in seq]
+    held, i = set(), 0
+    while i < len(v):
+        j = i
+        while j < len(v) and v[j] == v[i]:
+            j += 1
+        if j - i >= stuck:
+            held |= set(range(i, j))
+        i = j
+    bad = {i for i, x in enumerate(v) if x < 0 or x > 100}
+    at = [i for i in range(len(v)) if i not in bad]
+    steps = [round(abs(v[b] - v[a]), 9) for a, b in zip(at, at[1:]) if a not in held and b not in held]
+    usual = float(np.median(steps))
+    w = [v[i] for i in at]
+    for m in (1, 2, 3):
+        for k in range(1, len(w) - m):
+            run, a, b = w[k : k + m], w[k - 1], w[k + m]
+            if max(min(run) - max(a, b), min(a, b) - max(run)) > factor * usual:
+                out |= set(at[k : k + m])
+    return {seq[i][1] for i in out | bad | held}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chunks_against_loops(spark, monkeypatch, seed):
+    monkeypatch.setattr(plausibility, "ROWS_PER_CHUNK", [11, 45, 400][seed])
+    rng, rows = np.random.default_rng(seed), series(seed, 1500)
+    for r in rows:
+        if rng.random() < 0.1:
+            r[2] = [None, -1.0, 140.0, 40.0, 80.0][rng.integers(0, 5)]
+    for _ in range(12):  # stuck and impossible stretches of about the limit's length
+        a, n = int(rng.integers(0, 1400)), int(rng.integers(15, 45))
+        for i in range(a, a + n):
+            rows[i][2] = 150.0 if rng.random() < 0.2 and n > 30 else rows[a][2]
+    got = {i for i, f in flagged(spark, rows) if f == "cpu_usage"}
+    assert got == plainly(rows)
