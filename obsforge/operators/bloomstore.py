@@ -1,9 +1,11 @@
 """Bloom filters per time bucket, kept as bounded files in the shared folder.
 
-A time bucket is split into shards of about ``keys_per_shard`` rows, so that no
-filter grows with the data, however many rows one bucket holds.  Each shard has
-two bit planes: *seen* and *seen again*.  Shards are packed into files of about
-``file_bytes``; a reader that walks rows in rough time order touches few files.
+A time bucket with more rows than one filter holds is cut into equal slices of
+time, and only if a slice can't be shorter, by ranges of the key's hash.  No filter
+grows with the data, however many rows one bucket holds, and neighbours in time
+lie in one filter.  Each filter has two bit planes: *seen* and *seen again*.  Small
+buckets are packed into files of about ``file_bytes``; a filter of that size has its
+own.  A reader whose rows are sorted by (cell, key hash) goes through the files in order.
 """
 
 from __future__ import annotations
@@ -34,40 +36,56 @@ def open_fs(uri: str):
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the filter of a (bucket, shard) lies; a function of the rows per bucket alone.
+    """Where each filter lies; a function of the rows per bucket alone.
 
-    ``buckets`` is one entry per occupied time bucket: bounded by the calendar
+    All arrays have one entry per occupied time bucket: bounded by the calendar
     span over the bucket width, not by the rows.
     """
 
     buckets: np.ndarray  # sorted
-    shards: np.ndarray
-    bits: np.ndarray  # of each shard, a power of two
+    slices: np.ndarray
+    shards: np.ndarray  # of each slice
+    bits: np.ndarray  # of each filter, a power of two
+    first: np.ndarray  # number of the bucket's first filter
+    file: np.ndarray  # number of the bucket's first file
+    packed: np.ndarray  # whether all its filters lie in that file
+    bucket_us: int
     files: int
-    first: np.ndarray  # number of the bucket's first shard
-    file_of: np.ndarray  # of each shard
 
     @classmethod
-    def of(cls, counts: list[tuple[int, int]], keys_per_shard: int = 32768, file_bytes: int = 8 << 20) -> Layout:
+    def of(cls, counts: list[tuple[int, int]], bucket_us: int, finest_us: int, keys_per_filter: int = 1 << 20, file_bytes: int = 8 << 20) -> Layout:
         counts = sorted(counts)
         b = np.array([c[0] for c in counts], dtype=np.int64)
         n = np.array([c[1] for c in counts], dtype=np.int64)
-        shards = np.maximum(1, -(-n // keys_per_shard))
-        per = np.maximum(1, n // np.maximum(shards, 1))
-        bits = 1 << np.ceil(np.log2(np.maximum(1024, per * BITS_PER_KEY))).astype(np.int64)
-        first = np.concatenate([[0], np.cumsum(shards)])[: len(b)].astype(np.int64)
-        size = np.repeat(bits // 4, shards)
-        file_of = (np.cumsum(size) - size) // file_bytes
-        return cls(b, shards, bits, int(file_of[-1]) + 1 if len(file_of) else 0, first, file_of.astype(np.int64))
-
-    def locate(self, bucket: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Shard number (−1: no such bucket) and bits of each element's filter."""
+        filters = np.maximum(1, -(-n // keys_per_filter))
+        slices = np.minimum(filters, max(1, bucket_us // finest_us))
+        shards = -(-filters // slices)
+        bits = 1 << np.ceil(np.log2(np.maximum(1024, n // (slices * shards) * BITS_PER_KEY))).astype(np.int64)
+        number = slices * shards
+        size = number * bits // 4
+        packed = size <= file_bytes
+        file = np.zeros(len(b), np.int64)
+        at, held = -1, file_bytes + 1
+        for i in range(len(b)):  # one step a bucket
+            if packed[i]:
+                if held + size[i] > file_bytes:
+                    at, held = at + 1, 0
+                file[i], held = at, held + size[i]
+            else:
+                file[i], at, held = at + 1, at + number[i], file_bytes + 1
+        return cls(b, slices, shards, bits, np.cumsum(number) - number, file, packed, bucket_us, at + 1)
+
+    def locate(self, at_us: np.ndarray, kh: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Filter number (−1: no such bucket), file and bits of each element's filter."""
         if not len(self.buckets):
-            return np.full(len(bucket), -1), np.zeros(len(bucket), np.int64)
+            none = np.full(len(at_us), -1)
+            return none, none, none
+        bucket = at_us // self.bucket_us
         i = np.minimum(np.searchsorted(self.buckets, bucket), len(self.buckets) - 1)
+        part = (at_us - bucket * self.bucket_us) * self.slices[i] // self.bucket_us
+        own = part * self.shards[i] + ((((kh >> 32) + (1 << 31)) * self.shards[i]) >> 32)
         there = self.buckets[i] == bucket
-        s = self.first[i] + ((h >> np.uint64(40)) % self.shards[i].astype(np.uint64)).astype(np.int64)
-        return np.where(there, s, -1), self.bits[i]
+        return np.where(there, self.first[i] + own, -1), np.where(self.packed[i], self.file[i], self.file[i] + own), self.bits[i]
 
 
 def positions(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -78,29 +96,63 @@ def positions(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 class Builder:
-    """Collects elements of one task; gives one partial filter per shard touched."""
+    """Collects elements of one task; gives one partial filter per filter touched.
+
+    A part with few elements is given as their hashes, which are fewer bytes than the planes.
+    """
 
     def __init__(self, layout: Layout, flush_at: int = 1 << 20):
         self.layout, self.flush_at, self.parts, self.n = layout, flush_at, [], 0
 
-    def add(self, bucket: np.ndarray, h: np.ndarray):
-        s, bits = self.layout.locate(bucket, h)
-        self.parts.append((s, h, bits))
-        self.n += len(s)
+    def add(self, at_us: np.ndarray, kh: np.ndarray, h: np.ndarray):
+        f, file, bits = self.layout.locate(at_us, kh)
+        self.parts.append((f, file, h, bits))
+        self.n += len(f)
         if self.n >= self.flush_at:
             yield from self.flush()
 
     def flush(self):
+        """(file, filter, bits, hashes or none, planes or none)"""
         if not self.parts:
             return
-        s, h, bits = (np.concatenate(x) for x in zip(*self.parts))
+        f, file, h, bits = (np.concatenate(x) for x in zip(*self.parts))
         self.parts, self.n = [], 0
-        order = np.argsort(s, kind="stable")
-        s, h, bits = s[order], h[order], bits[order]
-        cuts = np.flatnonzero(np.diff(s)) + 1
-        for lo, hi in zip([0, *cuts], [*cuts, len(s)]):
+        order = np.argsort(f, kind="stable")
+        f, file, h, bits = f[order], file[order], h[order], bits[order]
+        cuts = np.flatnonzero(np.diff(f)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(f)]):
             if hi > lo:
-                yield int(s[lo]), *planes(h[lo:hi], int(bits[lo]))
+                few = 8 * (hi - lo) < bits[lo] // 4
+                once, again = (None, None) if few else planes(h[lo:hi], int(bits[lo]))
+                yield int(file[lo]), int(f[lo]), int(bits[lo]), h[lo:hi].tobytes() if few else None, once, again
+
+
+class Gathered:
+    """One filter from its parts."""
+
+    def __init__(self, bits: int):
+        self.bits, self.planes, self.waiting, self.n = bits, None, [], 0
+
+    def add(self, hashes: bytes | None, once: bytes | None, again: bytes | None) -> None:
+        if hashes is None:
+            self._join((bytes(once), bytes(again)))
+            return
+        self.waiting.append(np.frombuffer(hashes, np.uint64))
+        self.n += len(self.waiting[-1])
+        if self.n > self.bits // 32:
+            self._settle()
+
+    def _join(self, got: tuple[bytes, bytes]) -> None:
+        self.planes = merge(self.planes, got) if self.planes else got
+
+    def _settle(self) -> None:
+        if self.waiting:
+            self._join(planes(np.concatenate(self.waiting), self.bits))
+            self.waiting, self.n = [], 0
+
+    def done(self) -> tuple[bytes, bytes]:
+        self._settle()
+        return self.planes
 
 
 def planes(h: np.ndarray, bits: int) -> tuple[bytes, bytes]:
@@ -124,7 +176,7 @@ class Reader:
     """Looks elements up; holds at most ``keep`` filter files."""
 
     def __init__(self, layout: Layout, uri: str, keep: int = 6):
-        self.layout, self.keep = layout, keep
+        self.layout, self.keep, self.reads = layout, keep, 0
         self.store, self.base = open_fs(uri)
         self.held: OrderedDict[int, dict] = OrderedDict()
 
@@ -134,14 +186,15 @@ class Reader:
             return self.held[f]
         with self.store.open_input_file(f"{self.base}/f{f}.arrow") as src:
             t = pa.ipc.open_stream(src).read_all()
-        self.held[f] = dict(zip(t["shard"].to_pylist(), zip(t["once"].to_pylist(), t["again"].to_pylist())))
+        self.reads += 1
+        self.held[f] = dict(zip(t["filter"].to_pylist(), zip(t["once"].to_pylist(), t["again"].to_pylist())))
         if len(self.held) > self.keep:
             self.held.popitem(last=False)
         return self.held[f]
 
-    def test(self, bucket: np.ndarray, h: np.ndarray, again: bool) -> np.ndarray:
+    def test(self, at_us: np.ndarray, kh: np.ndarray, h: np.ndarray, again: bool) -> np.ndarray:
         """Whether all bits of the element are set in the plane."""
-        s, bits = self.layout.locate(bucket, h)
+        s, file, bits = self.layout.locate(at_us, kh)
         out = np.zeros(len(s), dtype=bool)
         order = np.argsort(s, kind="stable")
         order = order[s[order] >= 0]
@@ -152,7 +205,7 @@ class Reader:
                 continue
             i = order[lo:hi]
             p = positions(h[i], bits[i])
-            held = self._file(int(self.layout.file_of[so[lo]])).get(int(so[lo]))
+            held = self._file(int(file[i[0]])).get(int(so[lo]))
             if held is not None:
                 plane = np.frombuffer(held[1 if again else 0], np.uint8)
                 out[i] = np.all((plane[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1, axis=0)

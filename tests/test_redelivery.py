@@ -76,6 +76,41 @@ def test_filters_never_forget(a, b):
             assert got.all()
 
 
-def test_layout_is_bounded_per_shard():
-    lay = Layout.of([(0, 10), (1, 5_000_000)])
-    assert lay.shards[1] > 100 and lay.bits.max() <= 1 << 20 and lay.files > 1
+def test_layout_cuts_full_buckets_by_time_then_by_key():
+    hour = 3_600_000_000
+    lay = Layout.of([(0, 10), (1, 10_000_000), (2, 10), (3, 1 << 33)], hour, 1_000_000)
+    assert lay.slices.tolist() == [1, 10, 1, 3600] and lay.shards.tolist() == [1, 1, 1, 3] and lay.bits.max() <= 1 << 24
+    rng = np.random.default_rng(1)
+    us, kh = np.sort(rng.integers(0, 4 * hour, 50_000)), rng.integers(-(2**63), 2**63 - 1, 50_000)
+    f, file, _ = lay.locate(us, kh)
+    assert f.max() < lay.slices @ lay.shards and file.max() < lay.files and (np.diff(us // hour * 10**6 + f) >= -2).all()
+    # Ten million rows of one hour in time order: each file is opened once.
+    at = np.flatnonzero(us // hour == 1)
+    assert (np.diff(file[at]) >= 0).all() and len(set(file[at])) == 10
+
+
+def test_one_key_in_every_second_for_days(spark):
+    import datetime as dt
+
+    t = dt.datetime(2025, 1, 1, 23, 50)
+    # A chain over midnight, one that ends at midnight, and far ones.
+    at = [i * 0.9 for i in range(1400)] + [1500 + i * 2.0 for i in range(500)] + [90_000 + i * 0.5 for i in range(20)]
+    rows = [(len(at) - i, 1, 1, t + dt.timedelta(seconds=s), "a", i) for i, s in enumerate(at)]
+    got = redelivery.redelivered(spark.createDataFrame(rows, SCHEMA).repartition(3), "id", ["sc", "sq"], "ts")
+    assert {r.id for r in got.collect()} == brute(rows)
+
+
+def test_a_later_batch_is_screened_against_the_earlier_ones(spark, tmp_path):
+    rows = [r for r in packets(600, 3) if None not in r]
+    log = redelivery.DeliveryLog(spark, f"file://{tmp_path}/log", "id", ["sc", "sq"], "ts")
+    parts = [rows[:200], rows[200:350], rows[350:]]
+    drops = [{r.id: r.first_id for r in log.accept(spark.createDataFrame(p, SCHEMA)).collect()} for p in parts]
+    kept = []
+    for part, drop in zip(parts, drops):
+        kept += [r for r in part if r[0] not in drop]
+    for r in [x for p, d in zip(parts, drops) for x in p if x[0] in d]:
+        assert any(k[1:3] == r[1:3] for k in kept)
+    # What is left has no repeats but those that only a dropped row joined.
+    assert len(kept) >= len(rows) - len(brute(rows)) and drops[1] and drops[2]
+    assert not brute(parts[0]) ^ set(drops[0])
+    assert set(brute(rows)) >= set().union(*[set(d) for d in drops])
