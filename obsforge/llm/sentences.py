@@ -2,17 +2,17 @@
 
 Every text is cut at paragraph breaks (an empty line) and, within a paragraph, at
 candidate gaps.  Candidates are the ends of terminator runs (with the closing
-quotes and brackets that follow) and, in Thai, the white space between words.
+quotes and brackets that follow) and, in scripts without spaces, white space.
 Each candidate is judged from its surroundings alone.
 
-* Spaced scripts, Han and Kana (rules at end marks): abbreviations, initials,
+* Spaced scripts, and end marks of all others (rules): abbreviations, initials,
   decimals, ellipses, what follows (lower case, digit, opening mark), and whether the
   mark lies inside a quotation or bracket that belongs to a larger sentence, with
-  verbs of saying and particles after quotations for Chinese and Japanese.  Without
-  an end mark no sentence of these ends within a paragraph.
-* Thai: the words on both sides of the gap are found through a dictionary word
-  lattice (least cost, unknown stretches allowed) and the gap is classified by final
-  particles and by words that open or go on with a sentence.
+  verbs of saying and particles after quotations for Chinese and Japanese.
+* Thai, Han and Kana gaps without a mark: the words on both sides of the white space
+  are found through a dictionary word lattice (least cost, unknown stretches
+  allowed) and the gap is classified by final particles and by words that open or go
+  on with a sentence.  Each unbroken stretch is segmented once.
 
 The script is judged at each gap, not by the row's language code.
 
@@ -23,9 +23,13 @@ get equal sentences; very long texts are processed whole, in linear time.
 
 from __future__ import annotations
 
+import base64
+import os
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property, lru_cache
 
 import pandas as pd
 import regex
@@ -33,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsforge.llm import thai_words
+from obsforge.llm.bpe import default_folder
 
 # Abbreviations that never end a sentence.
 ABBREVIATIONS = frozenset(
@@ -72,20 +77,66 @@ THAI_FINAL = frozenset("ครับ ค่ะ คะ นะ ไหม เลย
 # The dictionary of the word lattice: a general one, and the function words above.
 THAI_WORDS = thai_words.WORDS | {w for w in THAI_GOES_ON | THAI_OPENS | THAI_OPEN_END | THAI_SUBORDINATE | THAI_FINAL if len(w) > 1}
 THAI_LONGEST = max(map(len, THAI_WORDS))
+# Chinese and Japanese words that close a sentence, that open one, and that go on with one.
+HAN_FINAL = frozenset("了 吗 嗎 呢 吧 啊 呀 啦 嘛 哦 喔 哟 着呢 而已 です ます でした ました ません ませんでした でしょう ましょう ください である だった だ よ ね わ ぞ かな かしら ですか ますか ですね ですよ ますね ますよ 下さい".split())
+HAN_OPENS = frozenset(
+    """
+    我 你 您 他 她 它 我们 我們 你们 你們 他们 他們 她们 这 這 那 这个 這個 那个 这里 這裡 但是 但 不过 不過 然而 因此 所以 因为 因為 如果 虽然 雖然 另外 此外 同时 同時 首先 其次 最后 最後 然后 然後 今天 昨天 明天 现在 現在 请 請
+    しかし そして また だから つまり ところが さて なお まず 次に では でも それから それで そこで ただし さらに 私 私たち 彼 彼女 これ それ あれ この その あの ここ そこ もし 今日 昨日 明日 今
+    """.split()
+)
+HAN_GOES_ON = frozenset("的 地 得 和 与 與 或 及 跟 は が を に で と も の へ や から まで より って という ので のに けど けれど けれども し て".split())
 # Chinese verbs of saying that may follow a quotation, and Japanese particles that go on after one.
-ZH_SAYS = regex.compile(r"[^。！？\n]{0,40}?(?:问道|喊道|说道|叫道|答道|写道|问|说|喊|叫|道)(?:[，。：！？,]|$)")
+ZH_SAYS = regex.compile(r"[^。！？\n]*?(?:问道|喊道|说道|叫道|答道|写道|问|说|喊|叫|道)(?:[，。：！？,]|\Z)")
 JA_AFTER_QUOTE = "とはがをにのでもやへ、，"
+# As far as an abbreviation can reach back, with a blank after each of its full stops: no longer word is one.
+LOOK_BACK = 2 * max(map(len, ABBREVIATIONS | FINAL_ABBREVIATIONS)) + 2
 
 BLANK = regex.compile(r"\s*")
 THAI = regex.compile(r"\p{Thai}")
+THAI_RUN = regex.compile(r"\p{Thai}+")
+HAN_RUN = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー々]+")
+LONE = regex.compile(r"\s+\p{Thai}|\s*\Z")
 BREAK = regex.compile(r"(?:\r\n|[\n\r \x85])[^\S\n\r  \x85]*(?:\r\n|[\n\r \x85])\s*| \s*")
-TERM = regex.compile(rf"[{regex.escape(TERMINATORS)};;](?:\s?[{regex.escape(TERMINATORS)}])*")
-THAI_GAP = regex.compile(r"(?<=\S)\s+(?=\S)")
+TERM = regex.compile(rf"[{regex.escape(TERMINATORS)};\u037e](?:\s?[{regex.escape(TERMINATORS)}])*")
+GAP = regex.compile(r"(?<=\S)\s+(?=\S)")
+NO_LETTER = regex.compile(r"[\p{P}\p{S}\s]+")
+IN_ADDRESS = regex.compile(r"[/_@]")
+SPACES = regex.compile(r"\s+")
+MARKED = regex.compile(rf"[{regex.escape(OPENERS + CLOSERS)}\"]")
+MONTH = regex.compile(MONTHS)
 WORD_BEFORE = regex.compile(r"[\p{L}\p{M}]+(?:\.[   ]?[\p{L}\p{M}]+)*$")
 LATIN_BEFORE = regex.compile(r"[\p{Latin}\p{Greek}\p{Cyrillic}\p{M}]+(?:\.[ \u00a0\u202f]?[\p{Latin}\p{Greek}\p{Cyrillic}\p{M}]+)*$")
 ORDINAL = regex.compile(r"(?:^|[^\p{N}.,:])\d{1,2}$")
-HAN_KANA = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー]")
+HAN_KANA = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}ー々]")
 CASED = regex.compile(r"[\p{Latin}\p{Greek}\p{Cyrillic}\p{Armenian}]")
+GREEK = regex.compile(r"\p{Greek}")
+# Openers by the closers that close them.
+OPENED_BY = {c: [o for o, cs in PAIRS.items() if c in cs] for c in {c for cs in PAIRS.values() for c in cs}}
+
+
+def han_dictionary(folder: str | None = None, vocabulary: str = "byte_bpe_multi_50k.tiktoken") -> frozenset[str]:
+    """The Han and Kana words of a public vocabulary for many languages, with the function words above."""
+    found = {w for w in HAN_FINAL | HAN_OPENS | HAN_GOES_ON if len(w) > 1}
+    with open(os.path.join(folder or default_folder(), vocabulary), "rb") as f:
+        for line in f:
+            try:
+                w = base64.b64decode(line.split()[0]).decode().strip()
+            except ValueError:
+                continue
+            if len(w) > 1 and HAN_RUN.fullmatch(w):
+                found.add(w)
+    return frozenset(found)
+
+
+@lru_cache(4)
+def _longest(dictionary: frozenset[str]) -> int:
+    return max(map(len, dictionary), default=0)
+
+
+@lru_cache(1)
+def _han_words() -> frozenset[str]:
+    return han_dictionary()
 
 
 def words(chunk: str, dictionary: frozenset[str] = THAI_WORDS, longest: int = THAI_LONGEST) -> list[str]:
@@ -107,19 +158,20 @@ def words(chunk: str, dictionary: frozenset[str] = THAI_WORDS, longest: int = TH
 
 def pairs(text: str) -> tuple[list[tuple[int, int]], set[int]]:
     """(open, close) of each outermost quotation or bracket that is closed, in order; the places of all closing marks."""
-    out, stack = [], []
-    for m in regex.finditer(rf"[{regex.escape(OPENERS + CLOSERS)}\"]", text):
+    out, stack, held = [], [], Counter()
+    for m in MARKED.finditer(text):
         c, i = m[0], m.start()
-        if stack and (c in PAIRS.get(stack[-1][0], "") or c == '"' == stack[-1][0]):
-            o = stack.pop()
-            out.append((o[1], i))
-            continue
-        deeper = next((k for k in range(len(stack) - 1, -1, -1) if c in PAIRS.get(stack[k][0], "")), None)
-        if deeper is not None:
-            out.append((stack[deeper][1], i))
-            del stack[deeper:]
+        if any(held[o] for o in OPENED_BY.get(c, ())) or c == '"' and stack and stack[-1][0] == '"':
+            # What was opened after the partner stays unclosed; each mark leaves the stack once.
+            while True:
+                o, at = stack.pop()
+                held[o] -= 1
+                if c in PAIRS.get(o, "") or c == '"' == o:
+                    break
+            out.append((at, i))
         elif c in OPENERS or c == '"':
             stack.append((c, i))
+            held[c] += 1
     out.sort()
     closes = {e for _, e in out}
     top, reach = [], -1
@@ -130,39 +182,83 @@ def pairs(text: str) -> tuple[list[tuple[int, int]], set[int]]:
     return top, closes
 
 
+class Runs:
+    """The maximal stretches of one kind of character, in order; their words once asked for."""
+
+    def __init__(self, text: str, kind: regex.Pattern, dictionary: frozenset[str] = frozenset(), longest: int = 0):
+        self.text, self.kind, self.dictionary, self.longest, self.kept = text, kind, dictionary, longest, {}
+
+    @cached_property
+    def begs(self) -> list[int]:
+        return [m.start() for m in self.kind.finditer(self.text)]
+
+    @cached_property
+    def ends(self) -> list[int]:
+        return [m.end() for m in self.kind.finditer(self.text)]
+
+    def holding(self, i: int) -> int | None:
+        """Number of the stretch that holds position ``i``."""
+        k = bisect_right(self.begs, i) - 1
+        return k if k >= 0 and i < self.ends[k] else None
+
+    def last_before(self, i: int) -> int:
+        """End of the last stretch that begins before ``i``, or −1."""
+        k = bisect_left(self.begs, i) - 1
+        return min(self.ends[k], i) if k >= 0 else -1
+
+    def words(self, k: int) -> list[str]:
+        if k not in self.kept:
+            self.kept[k] = words(self.text[self.begs[k] : self.ends[k]], self.dictionary, self.longest)
+        return self.kept[k]
+
+
 class Paragraph:
-    def __init__(self, text: str, beg: int, end: int):
+    def __init__(self, text: str, beg: int, end: int, han: frozenset[str]):
         self.t, self.beg, self.end = text[beg:end], beg, end
         self.pairs, self.closes = pairs(self.t)
         self.opens = [p[0] for p in self.pairs]
+        self.blunt = Runs(self.t, NO_LETTER)
+        self.spaces, self.address = Runs(self.t, SPACES), Runs(self.t, IN_ADDRESS)
+        self.thais = Runs(self.t, THAI_RUN, THAI_WORDS, THAI_LONGEST)
+        self.hans = Runs(self.t, HAN_RUN, han, _longest(han))
 
     def around(self, i: int) -> tuple[int, int] | None:
         """The pair that has position ``i`` inside."""
         k = bisect_right(self.opens, i) - 1
         return self.pairs[k] if k >= 0 and self.pairs[k][0] < i <= self.pairs[k][1] else None
 
-    def candidates(self) -> Iterator[tuple[int, int, str]]:
-        """(end of what belongs to the sentence on the left, begin of the next, kind)."""
-        found = {}
-        for m in TERM.finditer(self.t):
+    def greek_before(self, i: int) -> bool:
+        t = self.t
+        i -= i > 0 and t[i - 1].isspace()
+        while i > 0 and (t[i - 1] in "»”)" or unicodedata.category(t[i - 1])[0] == "M"):
+            i -= 1
+        return i > 0 and GREEK.match(t, i - 1) is not None
+
+    def candidates(self) -> Iterator[tuple[int, int, str, int, int]]:
+        """(end of what belongs to the sentence on the left, begin of the next, kind, mark's begin, mark's end)."""
+        found, t = {}, self.t
+        for m in TERM.finditer(t):
             e = m.end()
-            if m[0][0] in ";;" and not (m[0] == ";" or regex.search(r"\p{Greek}[\p{M}»”)]*\s?$", self.t[max(0, m.start() - 6) : m.start()])):
+            if m[0][0] in ";\u037e" and not (m[0] == "\u037e" or self.greek_before(m.start())):
                 continue
-            if e < len(self.t) and unicodedata.category(self.t[e]) in ("Mn", "Cf"):
+            if e < len(t) and unicodedata.category(t[e]) in ("Mn", "Cf"):
                 e += 1
             last = e
-            while (j := last + (last + 1 < len(self.t) and self.t[last].isspace() and self.t[last + 1] in "»”")) < len(self.t) and (j in self.closes or self.t[j] in SURE_CLOSERS):
+            while (j := last + (last + 1 < len(t) and t[last].isspace() and t[last + 1] in "»”")) < len(t) and (j in self.closes or t[j] in SURE_CLOSERS):
                 last = j + 1
             if last > e:
                 e = last
-                if e < len(self.t) and self.t[e] in TERMINATORS:
+                if e < len(t) and t[e] in TERMINATORS:
                     continue
-            nxt = regex.compile(r"\s*").match(self.t, e).end()
-            if nxt < len(self.t):
+            nxt = BLANK.match(t, e).end()
+            if nxt < len(t):
                 found[nxt] = (e, nxt, "mark", m.start(), m.end())
-        if THAI.search(self.t):
-            for m in THAI_GAP.finditer(self.t):
-                found.setdefault(m.end(), (m.start(), m.end(), "thai", m.start(), m.start()))
+        thai = THAI.search(t) is not None
+        if thai or HAN_KANA.search(t):
+            for m in GAP.finditer(t):
+                han = HAN_RUN.match(t, m.end()) is not None and HAN_KANA.match(t, m.start() - 1) is not None
+                if han or thai:
+                    found.setdefault(m.end(), (m.start(), m.end(), "han" if han else "thai", m.start(), m.start()))
         for k in sorted(found):
             yield found[k]
 
@@ -171,7 +267,10 @@ class Paragraph:
         for e, nxt, kind, mark, mark_end in self.candidates():
             if e <= start:
                 continue
-            ends = self.thai(start, e, nxt) if kind == "thai" else self.mark(start, e, nxt, mark, mark_end)
+            if kind == "mark":
+                ends = self.mark(start, e, nxt, mark, mark_end)
+            else:
+                ends = self.thai(start, e, nxt) if kind == "thai" else self.han(e, nxt)
             if ends:
                 yield start, e
                 start = nxt
@@ -179,14 +278,14 @@ class Paragraph:
 
     def mark(self, start: int, e: int, nxt: int, mark: int, mark_end: int) -> bool:
         t = self.t
-        run, after, spaced = t[mark:mark_end].replace(" ", ""), t[nxt:], nxt > e
-        first = after[0]
+        run, spaced = t[mark:mark_end].replace(" ", ""), nxt > e
+        first = t[nxt]
         inside = self.around(mark)
         if inside and inside[1] >= e:
             return False  # the quotation or bracket goes on
         closed = inside is not None
-        letter = regex.match(r"[\p{P}\p{S}\s]*(.)", after[:40])
-        head = letter[1] if letter else first
+        over = self.blunt.holding(nxt)
+        head = t[min(len(t) - 1, nxt if over is None else self.blunt.ends[over])]
         lower = unicodedata.category(head) == "Ll" or first in ",;:،；，、"
         ellipsis = "…" in run or len(run) >= 3 and set(run) == {"."}
         if closed:
@@ -198,34 +297,34 @@ class Paragraph:
             if HAN_KANA.match(first) or t[opened] in "「『":
                 if first in JA_AFTER_QUOTE and t[opened] in "「『":
                     return False
-                return opened > start or not ZH_SAYS.match(after[:60])
+                return opened > start or not ZH_SAYS.match(t, nxt)
             if THAI.match(first):
                 return self.thai(start, e, nxt)
             if not CASED.match(head) and not head.isdigit():
                 return opened > start  # without case: a leading quotation is followed by who said it
             return True
         if ellipsis:
-            return spaced and bool(CASED.match(head)) and not lower and not regex.search(r"\s$", t[max(0, mark - 1) : mark])
+            return spaced and bool(CASED.match(head)) and not lower and not (mark > 0 and t[mark - 1].isspace())
         if run[0] in WIDE or run[0] in "।॥؟۔":
             return True
-        if "!" in run or "?" in run or "！" in run or "？" in run or run[0] in ";;":
+        if "!" in run or "?" in run or "！" in run or "？" in run or run[0] in ";\u037e":
             if run[0] == "!" and not spaced and not (CASED.match(head) and not lower):
                 return not first.isalnum() or HAN_KANA.match(first) is not None or THAI.match(first) is not None
             return not lower
         # A full stop.
-        left = t[max(start, mark - 24) : mark]
+        left = t[max(start, mark - LOOK_BACK) : mark]
         word = (LATIN_BEFORE if CASED.search(left[-1:]) else WORD_BEFORE).search(left)
         name = unicodedata.normalize("NFC", regex.sub(r"\s", "", word[0])).lower() if word else ""
         last = name.rsplit(".", 1)[-1]
         if first.isdigit() and not spaced and (not word or len(last) < 3 or not last.isalpha()):
             return False
         if not spaced:
-            whole = regex.search(r"\S*$", left)[0]
-            if lower or not (first.isupper() or first in OPENERS + "¿¡" or first.isdigit() or not CASED.match(first) and first.isalpha()) or regex.search(r"[/_@]", whole) and not first.isupper():
+            address = self.address.last_before(mark) > max(start, self.spaces.last_before(mark))
+            if lower or not (first.isupper() or first in OPENERS + "¿¡" or first.isdigit() or not CASED.match(first) and first.isalpha()) or address and not first.isupper():
                 return False
         if lower or not spaced and left[-1:].isdigit() and HAN_KANA.match(first):
             return False
-        if ORDINAL.search(left) and regex.match(MONTHS, after):
+        if ORDINAL.search(left) and MONTH.match(t, nxt):
             return False
         if name in FINAL_ABBREVIATIONS or _tail(name) in FINAL_ABBREVIATIONS:
             return True
@@ -236,47 +335,55 @@ class Paragraph:
         return True
 
     def thai(self, start: int, e: int, nxt: int) -> bool:
-        t = self.t
+        t, runs = self.t, self.thais
         if (p := self.around(e)) and p[1] >= e:
             return False
-        left, right = t[max(start, e - 40) : e], t[nxt : nxt + 40]
-        a = regex.search(r"[\p{Thai}]+[.]?$", left)
-        b = regex.match(r"\p{Thai}+", right)
-        closed = bool(left) and left[-1] in CLOSERS + '"'
-        if not b:
-            return bool(closed and right[:1] in OPENERS) if not a else bool(right[:1] in OPENERS and words(a[0])[-1] in THAI_FINAL)
-        head = words(b[0])[0]
-        opens = any(b[0].startswith(w) for w in THAI_OPENS)
-        if not opens and (head in THAI_GOES_ON or any(b[0].startswith(w) and len(w) > 2 for w in ("และ", "แล้ว", "ไว้", "เช่น"))):
+        stop = t[e - 1] == "." and runs.holding(e - 2) is not None if e > 1 else False
+        a, b = runs.holding(e - 2 if stop else e - 1), runs.holding(nxt)
+        closed = t[e - 1] in CLOSERS + '"'
+        opening = t[nxt] in OPENERS
+        if b is None:
+            return closed and opening if a is None else opening and runs.words(a)[-1] in THAI_FINAL
+        chunk, head = t[nxt : runs.ends[b]], runs.words(b)[0]
+        opens = any(chunk.startswith(w) for w in THAI_OPENS)
+        if not opens and (head in THAI_GOES_ON or any(chunk.startswith(w) and len(w) > 2 for w in ("และ", "แล้ว", "ไว้", "เช่น"))):
             return False
         if closed:
             return True
-        if not a:
+        if a is None:
             return False  # a number, a name in other letters, or a mark stands before
-        if a[0].endswith("."):
+        if stop:
             return False
-        if len(b[0]) == len(head) and head in THAI_WORDS and head not in THAI_FINAL and regex.match(r"\s+\p{Thai}|\s*$", t[nxt + len(b[0]) :]):
+        if len(chunk) == len(head) and head in THAI_WORDS and head not in THAI_FINAL and LONE.match(t, runs.ends[b]):
             return False  # a lone word between blanks is a member of a list, no clause
-        so_far = regex.match(r"\p{Thai}+", t[start:e])
-        if so_far and len(so_far[0]) == e - start and any(so_far[0].startswith(w) for w in THAI_SUBORDINATE) and not any(w in words(so_far[0]) for w in THAI_ANSWERS):
+        if runs.begs[a] <= start and any(t.startswith(w, start) for w in THAI_SUBORDINATE) and not any(w in runs.words(a) for w in THAI_ANSWERS):
             return False  # a subordinate clause that still waits for its main clause
-        tail = words(a[0])[-1]
-        return tail not in THAI_OPEN_END
+        return runs.words(a)[-1] not in THAI_OPEN_END
+
+    def han(self, e: int, nxt: int) -> bool:
+        """White space between Han or Kana ends a sentence that is closed by a particle or copula, if what follows opens one or is no mere ending."""
+        if (p := self.around(e)) and p[1] >= e:
+            return False
+        left, right = self.hans.words(self.hans.holding(e - 1)), self.hans.words(self.hans.holding(nxt))
+        if right[0] in HAN_GOES_ON or left[-1] not in HAN_FINAL:
+            return False
+        return right[0] in HAN_OPENS or len(left[-1]) > 1
 
 
 def _tail(name: str) -> str:
     return ".".join(name.split(".")[-2:])
 
 
-def sentences(text: str | None) -> list[tuple[int, int]]:
+def sentences(text: str | None, han: frozenset[str] | None = None) -> list[tuple[int, int]]:
     """(begin, end) offsets in code points of the sentences of one text."""
     if not text or text.isspace():
         return []
     out, at = [], 0
+    han = _han_words() if han is None else han
     for m in [*BREAK.finditer(text), None]:
         end = m.start() if m else len(text)
         if text[at:end].strip():
-            p = Paragraph(text, at, end)
+            p = Paragraph(text, at, end, han)
             for b, e in p.spans():
                 part = p.t[b:e]
                 lead = len(part) - len(part.lstrip())
@@ -287,12 +394,16 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
     return out
 
 
-def sentence_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, sent_no, beg_char, end_char): one row a sentence."""
+def sentence_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
+    """(doc_id, sent_no, beg_char, end_char): one row a sentence; equal documents come out once.
+
+    The word list (about 700 words) is read where the query is built, from ``folder``.
+    """
+    han = han_dictionary(folder)
 
     @F.pandas_udf("array<struct<beg_char:int,end_char:int>>")
     def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"beg_char": b, "end_char": e} for b, e in sentences(t)])
+        return texts.map(lambda t: [{"beg_char": b, "end_char": e} for b, e in sentences(t, han)])
 
     cuts = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(cut(F.col(text_col))).alias("n", "s"))
     return cuts.select("doc_id", (F.col("n") + 1).cast("int").alias("sent_no"), "s.beg_char", "s.end_char").distinct()

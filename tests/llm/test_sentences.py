@@ -76,3 +76,40 @@ def test_thai_outside_the_test_tables():
     for two in ("นักเรียนอ่านหนังสือ ครูเขียนกระดาน", "ประชาชนเลือกตั้ง ของขวัญวางบนโต๊ะ"):
         assert cut(two) == two.split(" ")
     assert words("นักเรียนอ่านหนังสือ") == ["นักเรียน", "อ่าน", "หนังสือ"]
+
+
+def cut(text):
+    return [text[b:e] for b, e in sentences(text)]
+
+
+def test_words_of_saying_may_stand_far_behind_a_quotation():
+    far = "他" * 45
+    assert len(cut(f"“我们走吧。”{far}说。")) == len(cut("“我们走吧。”他大声地说。")) == 1
+
+
+def test_an_address_of_any_length_holds_its_full_stops():
+    assert len(cut("see http://x.invalid/" + "a" * 60 + ".log is here.")) == 1
+
+
+def test_gaps_between_han_and_kana_without_a_mark():
+    assert cut("我们已经到家了 但是门没有开") == ["我们已经到家了", "但是门没有开"]
+    assert cut("今日は雨です しかし明日は晴れます") == ["今日は雨です", "しかし明日は晴れます"]
+    assert len(cut("北京 上海 广州")) == 1 and len(cut("これは本 という物")) == 1
+    assert len(cut("今日は雨です と彼は言った")) == 1
+
+
+def test_time_grows_with_the_text():
+    import time
+
+    def took(text):
+        best = 1e9
+        for _ in range(2):
+            began = time.process_time()
+            sentences(text)
+            best = min(best, time.process_time() - began)
+        return best
+
+    for unit in ("The valve was opened at noon. ", "กล้องถูกเปิดตอนเที่ยง แล้วปิด ", "(“", "“a”. ", "他说：“走吧。”", "a.b.", "... "):
+        n = 40_000 // len(unit)
+        assert took(unit * n * 4) < 10 * took(unit * n) + 0.2, unit
+    assert took("(" * 30_000 + "”" * 30_000) < 5
