@@ -215,6 +215,6 @@ def encode_column(docs: DataFrame, text_col: str = "text", folder: str | None =
 
 
 def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
-    """(doc_id, ids): equal rows come out once."""
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.select("doc_id", encode_column(narrow, "text", folder).alias("ids")).distinct()
+    """(doc_id, ids): equal documents come out once; they are found by their texts, which are fewer bytes than the ids."""
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).distinct()
+    return narrow.select("doc_id", encode_column(narrow, "text", folder).alias("ids"))
