@@ -12,13 +12,17 @@
    the leading right singular subspace: each task sums its own X'X W, the blocks
    are added by feature block, and only the features x rank matrix, of fixed
    size, reaches the driver for orthogonalisation.
+   Passages with many vocabulary grams but no such stretch are kept apart for ``paraphrased``.
 4. Passages are compared with the item passages by cosine in that subspace; the
    cutoff is calibrated on the items alone, as a fraction of the lowest cosine
    between an item passage and any bare run of it.  No cosine bounds that of two
    passages which share a run and differ in the rest (the rarer the rest, the lower
    it is), so the pairs below the cutoff are looked up by the hashes of their runs.
-5. A candidate pair of either way counts if the two passages share a common substring
-   of the required length (the answer check of the longest common run).
+5. A candidate pair of either way counts for ``leaked`` if the two passages share a
+   common substring of the required length.  ``paraphrased`` takes the other passages:
+   a candidate by cosine counts if the longest common subsequence of the two covers
+   LCS_SHARE of the longer one (computed bit-parallel) and every number of the item's
+   passage, the part an answer hangs on, stands in the document's too.
 
 Defined cases: null and blank texts contain nothing; items shorter than the run
 have no cases; repeated documents give each pair once; a document with one item
@@ -44,14 +48,36 @@ GRAM = 4
 FEATURES, RANK, POWER = 8192, 192, 2
 BLOCK_CHARS = 4_000_000
 FRACTION = 0.3
+COVERED, NEAR, LCS_SHARE = 0.6, 0.5, 0.8
 DENSE = regex.compile(r"[\p{Thai}\p{Han}\p{Hiragana}\p{Katakana}]")
 KEEP = regex.compile(r"[^\p{L}\p{M}\p{N}]+")
+KEEP_JOINED = regex.compile(r"[^\p{L}\p{M}\p{N}\0]+")
+NUMBERS = regex.compile(r"\p{N}+")
 
 
 def normal(text: str) -> str:
     return KEEP.sub("", unicodedata.normalize("NFKC", text).lower())
 
 
+def normal_all(texts: list[str]) -> str:
+    """The normal forms of texts, joined by NUL, made in one pass: no rule of the forms looks across a NUL."""
+    joined = "\0".join([t.replace("\0", " ") for t in texts])
+    return KEEP_JOINED.sub("", unicodedata.normalize("NFKC", joined).lower())
+
+
+def common_subsequence(a: str, b: str) -> int:
+    """Length of the longest common subsequence, one machine-word row operation a character of ``b``."""
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    v = full
+    for c in b:
+        u = v & at.get(c, 0)
+        v = (v + u | v - u) & full
+    return len(a) - v.bit_count()
+
+
 def grams(text: str) -> np.ndarray:
     """One 64-bit number per position: the four code points of 16 bits mixed."""
     c = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
@@ -98,16 +124,22 @@ class Side:
                 self.text.append(t[a:b])
         found = [grams(t) for t in self.text]
         self.vocabulary = np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+        # Most grams of the corpus are told from the vocabulary's by one look into a bit field.
+        self.field_bits = np.uint64((1 << max(12, (16 * len(self.vocabulary)).bit_length())) - 1)
+        self.field = np.zeros(int(self.field_bits) + 1, bool)
+        self.field[self.vocabulary & self.field_bits] = True
 
     def lookup(self, h: np.ndarray) -> np.ndarray:
         """Vocabulary number of each gram, −1 if it is none."""
-        if not len(self.vocabulary):
-            return np.full(len(h), -1)
-        i = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[i] == h, i, -1)
-
-    def passages(self, text: str, at: np.ndarray) -> Iterator[str]:
-        """Passages of the unbroken stretches of vocabulary grams that are long enough for a run."""
+        out = np.full(len(h), -1)
+        if len(self.vocabulary):
+            some = np.flatnonzero(self.field[h & self.field_bits])
+            i = np.minimum(np.searchsorted(self.vocabulary, h[some]), len(self.vocabulary) - 1)
+            out[some] = np.where(self.vocabulary[i] == h[some], i, -1)
+        return out
+
+    def passages(self, text: str, at: np.ndarray) -> Iterator[tuple[int, str]]:
+        """(place, passage) of the unbroken stretches of vocabulary grams that are long enough for a run."""
         need = self.run - GRAM + 1
         ok = np.concatenate([[0], (at >= 0).astype(np.int8), [0]])
         edge = np.diff(ok)
@@ -115,7 +147,20 @@ class Side:
             if b - a >= need:
                 part = text[a : b + GRAM - 1]
                 for x, y in windows(len(part), self.run):
-                    yield part[x:y]
+                    yield int(a), part[x:y]
+
+    def covered(self, text: str, at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, str]]:
+        """(place, passage) of the passages, half a run apart, of which at least COVERED are vocabulary grams."""
+        step, full = self.run // 2, 2 * self.run
+        number = (np.maximum(0, -(-(ends - starts - full) // step)) + 1) * (ends - starts >= self.run)
+        k = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+        # The last passage of a text ends with it.
+        first = np.minimum(np.repeat(starts, number) + k * step, np.repeat(np.maximum(starts, ends - full), number))
+        last = np.minimum(np.repeat(ends, number), first + full)
+        seen = np.concatenate([[0], np.cumsum(at >= 0)])
+        grams_in = last - first - GRAM + 1
+        for k in np.flatnonzero(seen[first + grams_in] - seen[first] >= COVERED * grams_in):
+            yield int(first[k]), text[first[k] : last[k]]
 
 
 class Runs:
@@ -185,38 +230,53 @@ def in_batches(texts: list[str], size: int = 256) -> Iterator[list[str]]:
         yield texts[a : a + size]
 
 
-def _blocks(items: DataFrame) -> list[list[tuple[int, str, bool]]]:
-    """The items in blocks of at most BLOCK_CHARS characters (one item may exceed that alone)."""
-    out, size = [[]], 0
+def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str, bool]]]:
+    """The items in blocks of at most BLOCK_CHARS characters (one item may exceed that alone), one after the other."""
+    out, size = [], 0
     rows = items.select(F.col("item_id").cast("long"), F.col("text")).where("item_id IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item_id", "text")
     for i, t in rows.toLocalIterator():
         if size and size + len(t) > BLOCK_CHARS:
-            out.append([])
-            size = 0
+            yield out
+            out, size = [], 0
         size += len(t)
-        out[-1].append((i, normal(t), bool(DENSE.search(t))))
-    return out
+        out.append((i, normal(t), bool(DENSE.search(t))))
+    yield out
 
 
-def _scan(docs: DataFrame, sides: list[Side]) -> DataFrame:
-    """One pass over all documents: kind 0 rows (side, gram, documents with it), kind 1 rows (side, doc_id, passage)."""
+def by_chars(batches, most: int = 1_000_000) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """(ids, texts) of parts of batches with about ``most`` characters (one text may exceed that alone)."""
+    for pdf in batches:
+        ids, texts = pdf["doc_id"].to_numpy(), pdf["text"].tolist()
+        part = np.cumsum([len(t) for t in texts]) // most
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(texts)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield ids[a:b], texts[a:b]
+
+
+def _scan(docs: DataFrame, sides: list[Side], loose: bool) -> DataFrame:
+    """One pass over all documents: kind 0 rows (side, gram, documents with it), kind 1 rows (side, doc_id, passage) and, if ``loose``, kind 2 rows (passages covered without a run)."""
     shared = docs.sparkSession.sparkContext.broadcast(sides)
 
     def scan(batches):
         sides = shared.value
         seen = [np.zeros(len(s.vocabulary) + 1, np.int64) for s in sides]
-        for pdf in batches:
-            out = []
-            for i, t in zip(pdf["doc_id"].tolist(), pdf["text"].tolist()):
-                t = normal(t)
-                h = grams(t)
-                for k, s in enumerate(sides):
-                    seen[k][-1] += 1
-                    at = s.lookup(h)
-                    hit = np.unique(at[at >= 0])
-                    seen[k][hit] += 1
-                    if len(hit):
-                        out += [(1, k, i, p) for p in set(s.passages(t, at))]
+        for ids, texts in by_chars(batches):
+            text, out = normal_all(texts), []
+            h = grams(text)
+            cuts = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == 0)
+            starts, ends = np.concatenate([[0], cuts + 1]), np.append(cuts, len(text))
+            for k, s in enumerate(sides):
+                seen[k][-1] += len(ids)
+                at = s.lookup(h)
+                hit = np.flatnonzero(at >= 0)
+                doc = np.searchsorted(starts, hit, side="right") - 1
+                pair = np.unique(doc * np.int64(len(s.vocabulary) + 1) + at[hit])
+                seen[k] += np.bincount(pair % (len(s.vocabulary) + 1), minlength=len(seen[k]))
+                found = {(1, k, int(ids[np.searchsorted(starts, a, side="right") - 1]), p) for a, p in s.passages(text, at)}
+                if loose:
+                    found |= {(2, k, int(ids[np.searchsorted(starts, a, side="right") - 1]), p) for a, p in s.covered(text, at, starts, ends)}
+                out += sorted(found)
             yield pd.DataFrame(out, columns=["kind", "side", "n", "passage"])
         for k, c in enumerate(seen):
             j = np.flatnonzero(c)
@@ -281,15 +341,15 @@ def cutoff(space: Space, at: np.ndarray) -> float:
     return FRACTION * max(low, 0.0)
 
 
-def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(item_id, doc_id): the document and the item share a run of the length required for the item."""
+def _searched(docs: DataFrame, items: DataFrame, loose: bool, judge, schema: str) -> DataFrame | None:
+    """``judge(side, runs, passages, their cosines with the item passages, cutoff)`` of all distinct passages, with the documents that have them."""
     spark = docs.sparkSession
     sc, found = spark.sparkContext, None
     for block in _blocks(items):
         sides = [s for s in (Side([(i, t) for i, t, dense in block if dense == (run == RUN_DENSE)], run) for run in (RUN, RUN_DENSE)) if s.text]
         if not sides:
             continue
-        scanned = _scan(docs, sides)
+        scanned = _scan(docs, sides, loose)
         # At most one row per vocabulary gram: bounded by the block's length.
         counts = scanned.where("kind = 0").groupBy("side", "passage").agg(F.sum("n")).collect()
         for k, side in enumerate(sides):
@@ -298,7 +358,7 @@ def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
                 if s == k:
                     df[int(j)] = n
             idf = (np.log((df[-1] + 1) / (df[:-1] + 1)) + 1).astype(np.float32)
-            part = scanned.where((F.col("kind") == 1) & (F.col("side") == k)).select(F.col("n").alias("doc_id"), "passage")
+            part = scanned.where((F.col("kind") == (2 if loose else 1)) & (F.col("side") == k)).select(F.col("n").alias("doc_id"), "passage")
             # Equal passages are embedded once, whatever number of documents has them.
             distinct = part.select("passage").distinct()
             basis = subspace(distinct, side, idf)
@@ -312,16 +372,47 @@ def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
                 for pdf in batches:
                     out = []
                     for texts in in_batches(pdf["passage"].tolist()):
-                        near = unit(space.embed(texts)) @ at.T >= low
-                        for r, t in enumerate(texts):
-                            candidates = np.union1d(np.flatnonzero(near[r]), runs.near(t))
-                            hits = {side.ids[j] for j in candidates if runs.share(t, j)}
-                            out += [(i, t) for i in sorted(hits)]
-                    yield pd.DataFrame(out, columns=["item_id", "passage"])
-
-            hits = distinct.mapInPandas(retrieve, "item_id long, passage string")
-            pairs = part.join(hits, "passage").select("item_id", "doc_id")
+                        out += judge(side, runs, texts, unit(space.embed(texts)) @ at.T, low)
+                    yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+
+            pairs = part.join(distinct.mapInPandas(retrieve, schema), "passage").drop("passage")
             found = pairs if found is None else found.unionByName(pairs)
+    return found
+
+
+def _by_run(side: Side, runs: Runs, texts: list[str], cosine: np.ndarray, low: float) -> list[tuple]:
+    out = []
+    for r, t in enumerate(texts):
+        candidates = np.union1d(np.flatnonzero(cosine[r] >= low), runs.near(t))
+        out += [(i, t) for i in sorted({side.ids[j] for j in candidates if runs.share(t, j)})]
+    return out
+
+
+def _by_subsequence(side: Side, runs: Runs, texts: list[str], cosine: np.ndarray, low: float) -> list[tuple]:
+    out = []
+    for r, t in enumerate(texts):
+        best: dict[int, float] = {}
+        numbers = set(NUMBERS.findall(t))
+        for j in np.flatnonzero(cosine[r] >= NEAR):
+            other = side.text[j]
+            share = common_subsequence(other, t) / max(len(other), len(t))
+            if share >= LCS_SHARE and numbers >= set(NUMBERS.findall(other)):
+                best[side.ids[j]] = max(share, best.get(side.ids[j], 0.0))
+        out += [(i, share, t) for i, share in sorted(best.items())]
+    return out
+
+
+def leaked(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(item_id, doc_id): the document and the item share a run of the length required for the item."""
+    found = _searched(docs, items, False, _by_run, "item_id long, passage string")
+    if found is None:
+        return docs.sparkSession.createDataFrame([], "item_id long, doc_id long")
+    return found.select("item_id", "doc_id").distinct()
+
+
+def paraphrased(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(item_id, doc_id, share): the document has a passage close to one of the item's, whether or not they share a run."""
+    found = _searched(docs, items, True, _by_subsequence, "item_id long, share double, passage string")
     if found is None:
-        return spark.createDataFrame([], "item_id long, doc_id long")
-    return found.distinct()
+        return docs.sparkSession.createDataFrame([], "item_id long, doc_id long, share double")
+    return found.groupBy("item_id", "doc_id").agg(F.max("share").alias("share"))

@@ -38,11 +38,16 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return p9_found(spark, d).groupBy("item_id").agg(F.count("*").alias("docs"))
 
 
+def p9_paraphrases(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with a passage close to an item's by subsequence, which no common run need show."""
+    return leaks.paraphrased(load(spark, d, "documents"), load(spark, d, "eval_items"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentence_units(load(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p8_ids, p8_lengths, p9_found, p9_report, p10_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p8_ids, p8_lengths, p9_found, p9_report, p9_paraphrases, p10_found)}
 
 ORACLE = {
     "p3_found": """

@@ -79,3 +79,37 @@ def test_windows_cover_every_run():
             w = list(leaks.windows(n, run))
             for a in range(n - run + 1):
                 assert any(x <= a and a + run <= y for x, y in w)
+
+
+def test_normal_forms_of_many_texts_are_those_of_each():
+    texts = ["ΑΣ", "Straße ΣΑΣ!", "", "a\0b", "ｶﾞ e\u0301", "\u0301x", "İI", "ﬁn", "  ", "한글 각"]
+    assert leaks.normal_all(texts).split("\0") == [leaks.normal(t) for t in texts]
+
+
+def test_common_subsequence():
+    rng = random.Random(3)
+    for _ in range(200):
+        a, b = ("".join(rng.choice("abcd") for _ in range(rng.randint(0, 90))) for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last, row = row, [0]
+            for j, y in enumerate(b):
+                row.append(max(last[j] + 1 if x == y else 0, last[j + 1], row[j]))
+        assert leaks.common_subsequence(a, b) == row[-1]
+
+
+def test_paraphrases(spark):
+    rng = random.Random(5)
+    text = lambda n: " ".join(rng.choice(WORDS) + rng.choice(WORDS) for _ in range(n))
+    items = [(i, text(8) + f" {700 + i} volt " + text(6)) for i in range(12)]
+    docs = [(1000 + i, text(30)) for i in range(60)]
+    for i, t in items:
+        words = t.split()
+        docs.append((2000 + i, " ".join(w if k % 4 else w[:-1] for k, w in enumerate(words) if k % 8 != 7 or w.isdigit())))
+        docs.append((3000 + i, " ".join("1" if w.isdigit() else w[:-1] if k % 4 == 0 else w for k, w in enumerate(words))))
+    schema = "doc_id long, text string"
+    got = leaks.paraphrased(spark.createDataFrame([*docs, (9, None), (None, "x"), (10, "")], schema), spark.createDataFrame(items, "item_id long, text string")).collect()
+    pairs = {(r.item_id, r.doc_id) for r in got}
+    assert len([i for i, _ in items if (i, 2000 + i) in pairs]) >= 10 and all(r.share >= leaks.LCS_SHARE for r in got)
+    assert all(d >= 2000 and (d - i) % 1000 == 0 for i, d in pairs)
+    assert leaks.paraphrased(spark.createDataFrame([], schema), spark.createDataFrame([], "item_id long, text string")).count() == 0
