@@ -52,7 +52,7 @@ COVERED, NEAR, LCS_SHARE = 0.6, 0.5, 0.8
 DENSE = regex.compile(r"[\p{Thai}\p{Han}\p{Hiragana}\p{Katakana}]")
 KEEP = regex.compile(r"[^\p{L}\p{M}\p{N}]+")
 KEEP_JOINED = regex.compile(r"[^\p{L}\p{M}\p{N}\0]+")
-NUMBERS = regex.compile(r"\p{N}+")
+NUMBERS = regex.compile(r"(?<=[^\p{N}])\p{N}+(?=[^\p{N}])")  # those that a passage's ends don't cut
 
 
 def normal(text: str) -> str:
@@ -392,7 +392,7 @@ def _by_subsequence(side: Side, runs: Runs, texts: list[str], cosine: np.ndarray
     out = []
     for r, t in enumerate(texts):
         best: dict[int, float] = {}
-        numbers = set(NUMBERS.findall(t))
+        numbers = set(regex.findall(r"\p{N}+", t))
         for j in np.flatnonzero(cosine[r] >= NEAR):
             other = side.text[j]
             share = common_subsequence(other, t) / max(len(other), len(t))
