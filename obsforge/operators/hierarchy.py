@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsforge.operators.skew import hot_keys
+from obsforge.operators.skew import SHARE, hot_keys
 from obsforge.session import materialize
 
 STATE = "node long, anc long, dist int, low long, done boolean, path string"
@@ -32,15 +32,21 @@ class Hierarchy:
     loops: DataFrame  # node_id, loop_id: the ids on loops
 
 
-def _jump(state: DataFrame, paths: bool) -> DataFrame:
-    """One doubling of the pointers that aren't done."""
-    u, s = state.where("NOT done").alias("u"), state.alias("s")
-    path = F.concat_ws("/", "s.path", "u.path") if paths else F.lit(None).cast("string")
-    new = u.join(s, F.col("u.anc") == F.col("s.node")).select(
-        "u.node", "s.anc", (F.col("u.dist") + F.col("s.dist") if paths else F.lit(0)).alias("dist"),
-        F.least("u.low", "s.low").alias("low"), "s.done", path.alias("path"),
-    )
-    return new
+def _jump(state: DataFrame, paths: bool, left: int) -> DataFrame:
+    """One doubling of the pointers that aren't done, of which there are ``left``.
+
+    After a few rounds a third of all nodes may point at one ancestor.  The rows of such ancestors, at most SHARE
+    by their share of the pointers, are broadcast; only the other pointers are shuffled to their ancestors.
+    """
+    u = state.where("NOT done")
+    hot = F.broadcast(u.groupBy("anc").agg(F.count("*").alias("n")).where(F.col("n") > max(1000, left // SHARE)).select("anc"))
+    a = state.select(*[F.col(c).alias(f"to_{c}") for c in ("node", "anc", "dist", "low", "done", "path")])
+    heads = F.broadcast(a.join(hot, F.col("to_node") == F.col("anc")).drop("anc"))
+    on = F.col("anc") == F.col("to_node")
+    met = u.join(heads, on).unionByName(u.join(hot, "anc", "left_anti").select(u.columns).join(a, on))
+    path = F.concat_ws("/", "to_path", "path") if paths else F.lit(None).cast("string")
+    dist = F.col("dist") + F.col("to_dist") if paths else F.lit(0)
+    return met.select("node", F.col("to_anc").alias("anc"), dist.alias("dist"), F.least("low", "to_low").alias("low"), F.col("to_done").alias("done"), path.alias("path"))
 
 
 def hierarchy(links: DataFrame, parent: str = "parent", child: str = "child") -> Hierarchy:
@@ -56,7 +62,7 @@ def hierarchy(links: DataFrame, parent: str = "parent", child: str = "child") ->
     left = state.where("NOT done").count()
     reach = 1
     while left:
-        fresh = materialize(_jump(state, True), "pointers")
+        fresh = materialize(_jump(state, True, left), "pointers")
         after = fresh.where("NOT done").count()
         state = state.where("done").unionByName(fresh)
         reach *= 2
@@ -65,7 +71,7 @@ def hierarchy(links: DataFrame, parent: str = "parent", child: str = "child") ->
             break
     looped = state.where("NOT done").withColumn("path", F.lit(None).cast("string"))
     while left and reach < left:
-        looped = materialize(_jump(looped, False), "loops")
+        looped = materialize(_jump(looped, False, left), "loops")
         reach *= 2
     # A jump of at least as many steps as there are nodes ends on the loop, and the ends are all of the loop's nodes.
     a, b = looped.alias("a"), looped.alias("b")

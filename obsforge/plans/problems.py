@@ -85,6 +85,25 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
     return p6_found(spark, d).groupBy("src_table", "ref_month").agg(F.count("*").alias("orphan_rows"), F.count_distinct("ref_key").alias("missing_keys"))
 
 
+# Each packet of eng_ceb refers by (spacecraft_id, tlm_id) to the science packets of one file and spacecraft.
+PAIR = ["spacecraft_id", "tlm_id"]
+
+
+def _composite(spark: SparkSession, d: str, match: str) -> DataFrame:
+    refs, target = load(spark, d, "eng_ceb").select("id", *PAIR), load(spark, d, "sci_xfi").select(*PAIR)
+    return orphans(refs, target, PAIR, PAIR, match).select("id", *PAIR).distinct()
+
+
+def p6_partial(spark: SparkSession, d: str) -> DataFrame:
+    """Composite references; of a partly null one the columns that it has must occur together."""
+    return _composite(spark, d, "partial")
+
+
+def p6_full(spark: SparkSession, d: str) -> DataFrame:
+    """Composite references; a partly null one is an orphan."""
+    return _composite(spark, d, "full")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return intervals.periods_and_gaps(load(spark, d, "files"), "observatory", "date_beg", "date_end", DAY_US).withColumnRenamed("entity", "observatory")
 
@@ -96,7 +115,7 @@ def p7_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_kept, p2_found, p2_descendants, p2_loops, p2_families, p4_found, p4_flags, p4_cutoffs, p5_found, p5_rejected, p6_found, p6_report, p7_found, p7_coverage)
+    for f in (p1_found, p1_kept, p2_found, p2_descendants, p2_loops, p2_families, p4_found, p4_flags, p4_cutoffs, p5_found, p5_rejected, p6_found, p6_report, p6_partial, p6_full, p7_found, p7_coverage)
 }
 
 _P1 = """
@@ -167,7 +186,16 @@ ORACLE = {
     "p1_kept": _P1 + "SELECT spacecraft_id, count(*) AS packets FROM sci_xfi WHERE id NOT IN (SELECT id FROM f WHERE id <> first_id) GROUP BY spacecraft_id",
     "p2_found": _P2 + "SELECT * FROM nodes",
     "p2_families": _P2 + "SELECT root_id, count(*) AS members, max(node_depth) AS max_depth, min(node_depth) < 0 AS looped FROM nodes GROUP BY root_id",
+    "p2_descendants": _P2 + """, hops AS (SELECT down.node AS anc, down.node, 0 AS distance FROM down UNION ALL SELECT hops.anc, e.c, hops.distance + 1 FROM hops JOIN e ON e.p = hops.node)
+SELECT anc AS ancestor_id, node AS node_id, CAST(distance AS INTEGER) AS distance FROM hops WHERE distance > 0""",
+    "p2_loops": _P2 + "SELECT onloop.node AS node_id, lowest.loop_id FROM onloop JOIN lowest ON lowest.node = onloop.node",
     "p4_found": _P4,
+    "p6_partial": """WITH s AS (SELECT DISTINCT spacecraft_id, tlm_id FROM sci_xfi)
+SELECT DISTINCT id, spacecraft_id, tlm_id FROM eng_ceb e WHERE CASE WHEN spacecraft_id IS NULL AND tlm_id IS NULL THEN false
+WHEN tlm_id IS NULL THEN spacecraft_id NOT IN (SELECT spacecraft_id FROM s WHERE spacecraft_id IS NOT NULL) WHEN spacecraft_id IS NULL THEN tlm_id NOT IN (SELECT tlm_id FROM s WHERE tlm_id IS NOT NULL)
+ELSE NOT EXISTS (SELECT 1 FROM s WHERE s.spacecraft_id = e.spacecraft_id AND s.tlm_id = e.tlm_id) END""",
+    "p6_full": """SELECT DISTINCT id, spacecraft_id, tlm_id FROM eng_ceb e WHERE (spacecraft_id IS NULL) <> (tlm_id IS NULL) OR (spacecraft_id IS NOT NULL
+AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT spacecraft_id, tlm_id FROM sci_xfi) s WHERE s.spacecraft_id = e.spacecraft_id AND s.tlm_id = e.tlm_id))""",
     "p6_found": _P6 + "SELECT * FROM found",
     "p6_report": _P6 + "SELECT src_table, ref_month, count(*) AS orphan_rows, count(DISTINCT ref_key) AS missing_keys FROM found GROUP BY src_table, ref_month",
     "p7_found": _P7 + "SELECT * FROM found",
