@@ -1,27 +1,31 @@
-"""FITS images as a Spark data source, and a writer.
+"""FITS images as a Spark data source, and a writer; plain and tile-compressed.
 
 ``spark.dataSource.register(FitsSource)``, then
-``spark.read.format("fits").option("uncertainty", "false").load(folder)``.
+``spark.read.format("fits").schema("name string, data array<float>").load(folder)``.
 
 One row a file: name, header (map), ny, nx, data and unc (arrays, row by row,
-missing pixels NaN), error (null if the file could be read).  Files are divided
-among partitions by count; a file that can't be read gives a row with its error,
-so that a share of faults can be tolerated and counted.  Headers are read without
-the pixels where only they are asked for (option ``pixels`` = false).
+missing pixels NaN), error (null if the file could be read).  Folders are opened
+through pyarrow's file systems (file, hdfs, s3, gs).  Files are divided among
+partitions by count; a file that can't be read gives a row with its error, so that a
+share of faults can be tolerated and counted.  Of a stated schema only its columns
+are read: without data and unc no pixels are, without unc no uncertainty.
 """
 
 from __future__ import annotations
 
-import glob
 import os
 from collections.abc import Iterator
 
 import numpy as np
+from pyarrow import fs as arrow_fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from obsforge.operators.bloomstore import open_fs
+from obsforge.sources import tiled
+from obsforge.sources.tiled import TYPES
+
 BLOCK = 2880
 SCHEMA = "name string, header map<string,string>, ny int, nx int, data array<float>, unc array<float>, provenance array<string>, error string"
-TYPES = {8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}
 
 
 def read_header(f) -> dict[str, str]:
@@ -56,7 +60,8 @@ def payload(header: dict[str, str]) -> int:
 
 
 def units(path: str, pixels: bool = True) -> Iterator[tuple[dict[str, str], bytes | None]]:
-    with open(path, "rb") as f:
+    store, place = open_fs(path)
+    with store.open_input_file(place) as f:
         while header := read_header(f):
             size = payload(header)
             if pixels:
@@ -81,10 +86,18 @@ def read_file(path: str, uncertainty: bool = True, pixels: bool = True) -> tuple
         header, data, unc, source = {}, None, None, None
         for h, raw in units(path, pixels):
             kind = h.get("EXTNAME", "").upper()
+            packed = h.get("ZIMAGE") == "T"
             header = {**h, **header} if not header or kind != "UNCERTAINTY" else header
+            if packed and kind != "UNCERTAINTY":
+                header |= {"BITPIX": h["ZBITPIX"], "NAXIS1": h["ZNAXIS1"], "NAXIS2": h["ZNAXIS2"]}
             if raw is None or h.get("NAXIS", "0") == "0":
                 continue
-            if h.get("XTENSION", "").startswith("BINTABLE"):
+            if packed:
+                if data is None and kind != "UNCERTAINTY":
+                    data = tiled.image(h, raw).ravel()
+                elif unc is None and uncertainty:
+                    unc = tiled.image(h, raw).ravel()
+            elif h.get("XTENSION", "").startswith("BINTABLE"):
                 width = int(h["NAXIS1"])
                 source = [raw[i : i + width].decode("ascii", "replace").strip("\0 ") for i in range(0, len(raw), width)]
             elif data is None:
@@ -113,20 +126,52 @@ def _unit(cards: list[bytes], data: bytes) -> bytes:
     return head + b" " * (-len(head) % BLOCK) + data + b"\0" * (-len(data) % BLOCK)
 
 
-def write_file(path: str, data: np.ndarray, unc: np.ndarray | None = None, header: dict | None = None, provenance: list[str] | None = None) -> None:
-    """An empty primary unit, the image, its uncertainty, and a table of input names; written aside and renamed."""
+def _image_unit(name: str, data: np.ndarray, header: dict, compression: str | None) -> bytes:
+    if compression:
+        cards, raw = tiled.table(data, compression)
+        return _unit([_card("XTENSION", "BINTABLE"), *[_card(k, v) for k, v in cards.items()], _card("EXTNAME", name), *[_card(k, v) for k, v in header.items()]], raw)
     ny, nx = data.shape
     shape = [_card("BITPIX", -32), _card("NAXIS", 2), _card("NAXIS1", nx), _card("NAXIS2", ny), _card("PCOUNT", 0), _card("GCOUNT", 1)]
+    return _unit([_card("XTENSION", "IMAGE"), *shape, _card("EXTNAME", name), *[_card(k, v) for k, v in header.items()]], data.astype(">f4").tobytes())
+
+
+def write_file(path: str, data: np.ndarray, unc: np.ndarray | None = None, header: dict | None = None, provenance: list[str] | None = None, compression: str | None = None) -> None:
+    """An empty primary unit, the image, its uncertainty, and a table of input names; written aside and renamed.
+
+    ``compression`` GZIP_1 or GZIP_2 (floats, integers) or RICE_1 (integers) makes the images tile-compressed.
+    """
     out = _unit([_card("SIMPLE", True), _card("BITPIX", 8), _card("NAXIS", 0)], b"")
-    out += _unit([_card("XTENSION", "IMAGE"), *shape, _card("EXTNAME", "DATA"), *[_card(k, v) for k, v in (header or {}).items()]], data.astype(">f4").tobytes())
+    out += _image_unit("DATA", data, header or {}, compression)
     if unc is not None:
-        out += _unit([_card("XTENSION", "IMAGE"), *shape, _card("EXTNAME", "UNCERTAINTY")], unc.astype(">f4").tobytes())
+        out += _image_unit("UNCERTAINTY", unc, {}, "GZIP_2" if compression == "RICE_1" and unc.dtype.kind == "f" else compression)
     if provenance:
         cards = [_card("XTENSION", "BINTABLE"), _card("BITPIX", 8), _card("NAXIS", 2), _card("NAXIS1", 40), _card("NAXIS2", len(provenance)), _card("PCOUNT", 0), _card("GCOUNT", 1), _card("TFIELDS", 1), _card("TFORM1", "40A"), _card("TTYPE1", "provenance")]
         out += _unit(cards, b"".join(p.encode("ascii", "replace")[:40].ljust(40) for p in provenance))
-    with open(path + ".part", "wb") as f:
+    store, place = open_fs(path)
+    with store.open_output_stream(place + ".part") as f:
         f.write(out)
-    os.replace(path + ".part", path)
+    store.move(place + ".part", place)
+
+
+def write_images(df, folder: str, compression: str | None = "GZIP_2"):
+    """Write each row of (name, ny, nx, data[, unc, header, provenance]) as a file, in the tasks that hold the rows; gives (name, bytes)."""
+    import pandas as pd
+
+    store, place = open_fs(folder)
+    store.create_dir(place, recursive=True)
+
+    def put(batches):
+        for pdf in batches:
+            done = []
+            for r in pdf.to_dict("records"):
+                grid = lambda v, r=r: None if v is None else np.asarray(v, np.float32).reshape(int(r["ny"]), int(r["nx"]))
+                where = f"{folder.rstrip('/')}/{r['name']}"
+                write_file(where, grid(r["data"]), grid(r.get("unc")), dict(r.get("header") or {}), None if r.get("provenance") is None else list(r["provenance"]), compression)
+                s, p = open_fs(where)
+                done.append((r["name"], s.get_file_info(p).size))
+            yield pd.DataFrame(done, columns=["name", "bytes"])
+
+    return df.mapInPandas(put, "name string, bytes long")
 
 
 class Files(InputPartition):
@@ -135,19 +180,23 @@ class Files(InputPartition):
 
 
 class FitsReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.folder = options["path"].removeprefix("file://")
-        self.uncertainty = options.get("uncertainty", "true") != "false"
-        self.pixels = options.get("pixels", "true") != "false"
+    def __init__(self, options: dict, columns: list[str]):
+        self.folder, self.columns = options["path"], columns
+        self.uncertainty = "unc" in columns and options.get("uncertainty", "true") != "false"
+        self.pixels = bool({"data", "unc", "provenance"} & set(columns)) and options.get("pixels", "true") != "false"
         self.per_partition = int(options.get("filesperpartition", 16))
 
     def partitions(self) -> list[InputPartition]:
-        paths = sorted(glob.glob(os.path.join(self.folder, "**", "*.fits"), recursive=True))
+        store, place = open_fs(self.folder)
+        head = self.folder.split("://")[0] + "://" if "://" in self.folder else ""
+        paths = sorted(head + i.path for i in store.get_file_info(arrow_fs.FileSelector(place, recursive=True)) if i.path.endswith(".fits"))
         return [Files(paths[i : i + self.per_partition]) for i in range(0, len(paths), self.per_partition)] or [Files([])]
 
     def read(self, partition: Files) -> Iterator[tuple]:
+        names = [c.split()[0] for c in SCHEMA.split(", ")]
         for p in partition.paths:
-            yield read_file(p, self.uncertainty, self.pixels)
+            row = dict(zip(names, read_file(p, self.uncertainty, self.pixels)))
+            yield tuple(row[c] for c in self.columns)
 
 
 class FitsSource(DataSource):
@@ -159,4 +208,4 @@ class FitsSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return FitsReader(self.options)
+        return FitsReader(self.options, schema.fieldNames())

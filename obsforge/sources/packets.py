@@ -70,11 +70,55 @@ def load_packets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unpack_bits(data: bytes, width: int, little: bool = False) -> list[int]:
-    """Numbers of ``width`` bits packed without padding, the first bits first (big) or the lowest bits first (little)."""
+    """Numbers of ``width`` (at most 62) bits packed without padding, the first bits first (big) or the lowest bits first (little)."""
     n = len(data) * 8 // width
-    value = int.from_bytes(data, "little" if little else "big")
-    total, mask = len(data) * 8, (1 << width) - 1
-    return [(value >> i * width if little else value >> total - (i + 1) * width) & mask for i in range(n)]
+    bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little" if little else "big")[: n * width].reshape(n, width).astype(np.int64)
+    place = np.arange(width, dtype=np.int64)
+    return (bits @ (1 << (place if little else place[::-1]))).tolist()
+
+
+def decode_fields(rows: DataFrame, dictionary: dict[int, list[tuple[str, int]]], tail: str | None = None) -> DataFrame:
+    """The payloads of parsed packets by a dictionary: per application id the (name, bits) of its fields, first bits first.
+
+    Fields that an application does not have are null; what follows the fixed fields comes out as ``tail``.  A payload
+    shorter than its fields keeps the row, its fields null and ``error`` set.  Packets of other applications are left out.
+    """
+    names = list(dict.fromkeys(n for fields in dictionary.values() for n, _ in fields))
+    schema = f"{SCHEMA}, {', '.join(f'{n} long' for n in names)}" + (f", {tail} binary" if tail else "")
+
+    def read(batches):
+        for pdf in batches:
+            out = {n: [None] * len(pdf) for n in names}
+            rest: list = [None] * len(pdf)
+            errors = pdf["error"].tolist()
+            for i, (apid, payload) in enumerate(zip(pdf["apid"], pdf["payload"])):
+                if payload is None or apid not in dictionary:
+                    continue
+                total = sum(w for _, w in dictionary[apid])
+                if len(payload) * 8 < total:
+                    errors[i] = errors[i] or "payload broken off"
+                    continue
+                bits = np.unpackbits(np.frombuffer(payload, np.uint8), count=total).astype(np.int64)
+                at = 0
+                for n, w in dictionary[apid]:
+                    out[n][i] = int(bits[at : at + w] @ (1 << np.arange(w - 1, -1, -1, dtype=np.int64)))
+                    at += w
+                rest[i] = bytes(payload[-(-total // 8) :])
+            pdf = pdf.assign(error=errors, **{n: pd.array(v, "Int64") for n, v in out.items()})
+            yield pdf.assign(**{tail: rest}) if tail else pdf
+
+    return rows.where(F.col("apid").isin(*dictionary)).mapInPandas(read, schema)
+
+
+def masks(rows: DataFrame, name: str, content: str, ny: int, nx: int) -> DataFrame:
+    """(name, y, x) of each set pixel of packed masks, one a row."""
+
+    def read(batches):
+        for pdf in batches:
+            parts = [(n, *np.nonzero(mask_pixels(bytes(c), ny, nx))) for n, c in zip(pdf[name], pdf[content]) if c is not None]
+            yield pd.DataFrame({name: np.repeat([p[0] for p in parts], [len(p[1]) for p in parts]), "y": np.concatenate([p[1] for p in parts] or [[]]).astype(np.int32), "x": np.concatenate([p[2] for p in parts] or [[]]).astype(np.int32)})
+
+    return rows.select(name, content).mapInPandas(read, f"{name} {rows.schema[name].dataType.simpleString()}, y int, x int")
 
 
 def mask_pixels(data: bytes, ny: int, nx: int):

@@ -81,3 +81,64 @@ def test_csv_budget_upsert_and_products(spark, tmp_path):
     (tmp_path / "h.bin").write_bytes(b"abc")
     digest = tables.with_digest(spark.read.format("binaryFile").load(str(tmp_path / "h.bin"))).collect()[0].digest
     assert digest == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
+
+
+@pytest.mark.parametrize("kind", ["GZIP_1", "GZIP_2", "RICE_1"])
+def test_compressed_images(spark, tmp_path, kind):
+    spark.dataSource.register(fits.FitsSource)
+    rng = np.random.default_rng(4)
+    data = rng.integers(-70_000, 70_000, (7, 83)).astype(np.int32)
+    data[2], data[3, :40] = 5, 2**31 - 1
+    data[4] = rng.integers(-(2**31), 2**31 - 1, 83)
+    if kind != "RICE_1":
+        data = rng.random((7, 83)).astype(np.float32)
+        data[1, 1] = np.nan
+    unc = np.where(rng.random((7, 83)) < 0.2, np.inf, 0.1).astype(np.float32)
+    fits.write_file(str(tmp_path / "a.fits"), data, unc, {"OBSCODE": 3}, ["one.fits"], kind)
+    r = spark.read.format("fits").load(str(tmp_path)).collect()[0]
+    assert r.error is None and (r.ny, r.nx) == (7, 83) and r.header["OBSCODE"] == "3" and r.provenance == ["one.fits"]
+    np.testing.assert_array_equal(np.array(r.data, np.float32).reshape(7, 83), data.astype(np.float32))
+    np.testing.assert_array_equal(np.array(r.unc, np.float32).reshape(7, 83), unc)
+    few = spark.read.format("fits").schema("nx int, name string").load(f"file://{tmp_path}")
+    assert few.columns == ["nx", "name"] and tuple(few.collect()[0]) == (83, "a.fits")
+
+
+@pytest.mark.parametrize("size", [1, 2, 4])
+def test_rice(size):
+    from obsforge.sources import tiled
+
+    rng = np.random.default_rng(6)
+    low, high = (0, 255) if size == 1 else (-(1 << 8 * size - 1), (1 << 8 * size - 1) - 1)
+    for spread in (0, 1, 3, 40, high):
+        v = np.clip(rng.integers(-spread, spread + 1, 101) + (100 if size == 1 else 0), low, high)
+        assert tiled.rice_decode(tiled.rice_encode(v, size), len(v), size).tolist() == v.tolist(), spread
+
+
+def test_quantised_floats():
+    from obsforge.sources import tiled
+
+    v = np.array([[3, 7, tiled.NO_VALUE, 9], [1, 2, 3, 4]])
+    import struct
+
+    parts = [tiled.rice_encode(row) for row in v]
+    rows, heap = b"", b""
+    for p in parts:
+        rows += struct.pack(">iidd", len(p), len(heap), 0.5, 10.0)
+        heap += p
+    h = {"NAXIS1": "24", "NAXIS2": "2", "TFIELDS": "3", "TFORM1": "1PB(20)", "TTYPE1": "COMPRESSED_DATA", "TFORM2": "1D", "TTYPE2": "ZSCALE", "TFORM3": "1D", "TTYPE3": "ZZERO", "ZBITPIX": "-32",
+         "ZNAXIS": "2", "ZNAXIS1": "4", "ZNAXIS2": "2", "ZCMPTYPE": "RICE_1", "ZQUANTIZ": "NO_DITHER"}
+    got = tiled.image(h, rows + heap)
+    assert np.isnan(got[0, 2]) and got[0, [0, 1, 3]].tolist() == [11.5, 13.5, 14.5] and got[1].tolist() == [10.5, 11.0, 11.5, 12.0]
+    moved = tiled.image({**h, "ZQUANTIZ": "SUBTRACTIVE_DITHER_1", "ZDITHER0": "1"}, rows + heap)
+    assert (np.abs(moved - got)[~np.isnan(got)] <= 0.25).all() and (moved != got)[1].any()
+
+
+def test_packet_dictionary(spark):
+    from obsforge.sources.packets import build, decode_fields, packets as parsed
+
+    body = (5 << 20 | 77 << 8 | 9).to_bytes(4, "big")  # 12, 12 and 8 bits
+    content = build(0x20, 0, 1, 0, body + b"tail") + build(0x21, 1, 1, 0, b"\x01\x02") + build(0x20, 2, 1, 0, b"\x00") + build(0x30, 3, 1, 0, b"\x00")
+    files = spark.createDataFrame([("f", bytearray(content)), ("g", None)], "path string, content binary")
+    got = decode_fields(parsed(files), {0x20: [("a", 12), ("b", 12), ("c", 8)], 0x21: [("b", 16)]}, "rest").orderBy("packet_index").collect()
+    assert [(r.a, r.b, r.c, r.error) for r in got] == [(5, 77, 9, None), (None, 258, None, None), (None, None, None, "payload broken off")]
+    assert bytes(got[0].rest) == b"tail"
