@@ -160,3 +160,24 @@ def pixel_solid_angle(x: Column, y: Column, step_deg: float) -> Column:
     """Solid angle of a pixel of an ARC projection, in squared degrees: step^2 sin(r) / r at distance r from the centre."""
     r = F.radians(F.sqrt(x * x + y * y) * step_deg)
     return F.lit(step_deg * step_deg) * F.when(r == 0, F.lit(1.0)).otherwise(F.sin(r) / r)
+
+
+def pc_matrix(angle: Column, step_x: float, step_y: float) -> tuple[Column, Column, Column, Column]:
+    """The rotation by an angle in degrees between pixel axes of different steps, row by row."""
+    c, s = F.cos(F.radians(angle)), F.sin(F.radians(angle))
+    return c, -s * (step_y / step_x), s * (step_x / step_y), c
+
+
+def separation(lon: Column, lat: Column, lon2: Column, lat2: Column) -> Column:
+    """Angle between two directions, all in degrees."""
+    a, b = F.radians(lat), F.radians(lat2)
+    cosine = F.sin(a) * F.sin(b) + F.cos(a) * F.cos(b) * F.cos(F.radians(lon - lon2))
+    return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
+
+
+def slerp(a: Sequence[Column], b: Sequence[Column], part: float) -> list[Column]:
+    """A part of the way between two unit quaternions, the shorter way round; linear where they are one."""
+    dot = a[0] * b[0] + a[1] * b[1] + a[2] * b[2] + a[3] * b[3]
+    sign, angle = F.when(dot < 0, -1).otherwise(1), F.acos(F.least(F.lit(1.0), F.abs(dot)))
+    weight = lambda p: F.when(angle < 1e-6, F.lit(p)).otherwise(F.sin(p * angle) / F.sin(angle))
+    return [weight(1 - part) * x + weight(part) * sign * y for x, y in zip(a, b)]

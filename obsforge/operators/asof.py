@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from obsforge.operators import slotted
+from obsforge.session import materialize
 
 SLOT_US = 86_400_000_000
 
@@ -160,3 +162,42 @@ def nearest_in_grid(left: DataFrame, right: DataFrame, left_id: str, xy: tuple[s
     pairs = a.join(b, ["_i", "_j"]).where((F.abs(dx) <= box) & (F.abs(dy) <= box))
     best = pairs.groupBy(left_id).agg(F.min(F.struct((dx * dx + dy * dy).alias("d"), F.col(right_id))).alias("m"))
     return left.select(left_id).join(best, left_id, "left").select(left_id, F.col("m")[right_id].alias(right_id))
+
+
+def nearest_anywhere(left: DataFrame, right: DataFrame, left_id: str, xy: tuple[str, str], right_id: str, right_xy: tuple[str, str], box: float) -> DataFrame:
+    """(left_id, right_id): the nearest right point of each left point, however far; null only if there are none at all.
+
+    Points without one in a box of width ``box`` are looked up again in a box twice as wide, until all have one; a point
+    found farther than the box is looked up once more, as a nearer one may lie beside the box.
+    """
+    span = right.agg(*[f(c) for c in right_xy for f in (F.min, F.max)]).collect()[0]
+    todo, out = materialize(left.select(left_id, *xy), "points"), None
+    far = left.agg(*[f(c) for c in xy for f in (F.min, F.max)]).collect()[0]
+    if None in span or None in far:
+        return left.select(left_id, F.lit(None).cast(right.schema[right_id].dataType).alias(right_id))
+    widest = max(max(span[1], far[1]) - min(span[0], far[0]), max(span[3], far[3]) - min(span[2], far[2]))
+    at = right.select(F.col(right_id).alias("_r"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(right_xy)])
+    while True:
+        got = nearest_in_grid(todo, right, left_id, xy, right_id, right_xy, box).join(todo, left_id).join(at, F.col(right_id) == F.col("_r"), "left")
+        gap = F.sqrt((F.col(xy[0]) - F.col("_0")) * (F.col(xy[0]) - F.col("_0")) + (F.col(xy[1]) - F.col("_1")) * (F.col(xy[1]) - F.col("_1")))
+        got = materialize(got.select(left_id, right_id, *xy, F.coalesce(gap <= box, F.lit(False)).alias("_sure")), "nearest")
+        last = box > widest * 2
+        done = got.where("_sure" if not last else "true").select(left_id, right_id)
+        out = done if out is None else out.unionByName(done)
+        todo = got.where("NOT _sure").select(left_id, *xy)
+        if last or todo.isEmpty():
+            return out
+        box *= 2
+
+
+def count_within(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: str, at: str, right_at: str, distance: int, name: str = "n") -> DataFrame:
+    """(left_id, n): how many right rows of equal keys lie at most ``distance`` (whole numbers) away, without making the pairs.
+
+    The running count of right rows is looked up at both ends of each left row's span.
+    """
+    per = right.where(F.col(right_at).isNotNull()).groupBy(*keys, right_at).agg(F.count("*").alias("_c")).withColumn("_tie", F.lit(0))
+    upto = slotted.running_sum(per, keys, right_at, "_tie", F.col("_c"), "_upto")
+    ends = left.select(left_id, *keys, F.col(at).alias("_t"), F.posexplode(F.array(F.col(at) - distance - 1, F.col(at) + distance)).alias("_end", "_at"))
+    seen = before_after(ends, upto, keys, "_at", right_at, "_upto")
+    n = F.coalesce("before.id", F.lit(0))
+    return seen.groupBy(left_id).agg((F.sum(F.when(F.col("_end") == 1, n)) - F.sum(F.when(F.col("_end") == 0, n))).alias(name))

@@ -181,3 +181,20 @@ def decode_table(from_bits: int = 16, to_bits: int = 10, gain: float = 4.9, read
         same = np.floor(np.sqrt(np.rint(np.rint(x) * scale))) == c
         out[c] = np.average(x[same], weights=w[same]) if same.any() else mid
     return out
+
+
+def cubic_fill(a: np.ndarray) -> np.ndarray:
+    """Missing pixels by a cubic through the nearest two known ones on either side, along its row and its column, averaged; else left missing."""
+    out = a.copy()
+    for y, x in np.argwhere(np.isnan(a)):
+        found = []
+        for line, at in ((a[y], x), (a[:, x], y)):
+            known = np.flatnonzero(~np.isnan(line))
+            near = np.concatenate([known[known < at][-2:], known[known > at][:2]])
+            if len(near) >= 2:
+                # Lagrange's form: no matrix, exact for polynomials of its degree.
+                weight = [np.prod([(at - j) / (i - j) for j in near if j != i]) for i in near]
+                found.append(float(np.dot(weight, line[near])))
+        if found:
+            out[y, x] = np.mean(found)
+    return out

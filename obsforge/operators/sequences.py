@@ -1,6 +1,7 @@
 """Ordered-sequence operators: cycles, anchored groups, admission, merging of block requests.
 
-What compares a row with its neighbours is a window expression.  Anchored groups
+What compares a row with its neighbours is a window expression, cut into slots of
+time (``slotted``).  Anchored groups
 depend on all rows since the group's start, so they are a fold; the fold runs per
 key and per *stretch*, a stretch being cut off by a pause longer than the group
 may last, after which a new group begins whatever came before.
@@ -15,32 +16,28 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], cut: Column, name: str = "island") -> DataFrame:
-    """Number the stretches between rows where ``cut`` (null counts as true) holds; from 1 per key."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_cut", F.coalesce(cut.cast("int"), F.lit(1))).withColumn(name, F.sum("_cut").over(w)).drop("_cut")
+from obsforge.operators import slotted
 
 
 def cycles(df: DataFrame, keys: Sequence[str], at: str, code: str, per_step_us: int, id_col: str) -> DataFrame:
-    """Polarization cycles: a new one begins where the code doesn't rise or the pause is too long for the rise."""
-    w = Window.partitionBy(*keys).orderBy(at, id_col)
-    rise = F.col(code) - F.lag(code).over(w)
-    cut = (rise <= 0) | (F.col(at) - F.lag(at).over(w) > per_step_us * rise)
-    return islands(df.withColumn("_c", cut), keys, [at, id_col], F.col("_c"), "cycle").drop("_c")
+    """``df`` with ``cycle``, the first row (at, tie) of each row's polarization cycle: a new one begins where the code doesn't rise or the pause is too long for the rise."""
+    near = slotted.previous(df, keys, at, id_col, [code, at], "_before")
+    rise = F.col(code) - F.col(f"_before.{code}")
+    cut = F.coalesce((rise <= 0) | (F.col(at) - F.col(f"_before.{at}") > per_step_us * rise), F.lit(True))
+    return slotted.started(near, keys, at, id_col, cut, "cycle").drop("_before")
 
 
 def anchored_groups(df: DataFrame, keys: Sequence[str], at: str, id_col: str, longest: int, most: int, schema: str) -> DataFrame:
     """``df`` with ``anchor``, the time of the first row of the group that each row falls into.
 
     A group begins at its first row and takes rows while they are at most ``longest`` after it and fewer than ``most`` were
-    taken.  Nulls in ``at`` are dropped.  A stretch is read in order in batches, never as a whole.
+    taken.  Nulls in ``at`` are dropped.  A stretch is read in order in batches, never as a whole; without keys all rows
+    are one sequence, which still spreads over its stretches.
     """
-    w = Window.partitionBy(*keys).orderBy(at, id_col)
-    pause = F.coalesce(F.col(at) - F.lag(at).over(w) > longest, F.lit(True))
-    marked = df.where(F.col(at).isNotNull()).withColumn("_start", pause)
-    marked = marked.withColumn("_stretch", F.sum(F.col("_start").cast("int")).over(w))
-    spread = marked.repartition(*keys, "_stretch").sortWithinPartitions(*keys, "_stretch", at, id_col)
+    near = slotted.previous(df.where(F.col(at).isNotNull()), keys, at, id_col, [at], "_before")
+    pause = F.coalesce(F.col(at) - F.col(f"_before.{at}") > longest, F.lit(True))
+    marked = slotted.started(near.withColumn("_start", pause), keys, at, id_col, F.col("_start"), "_stretch").drop("_before")
+    spread = marked.repartition(*keys, "_stretch").sortWithinPartitions(*keys, "_stretch", at, id_col).drop("_stretch")
     names = [*df.columns, "anchor"]
 
     def fold(batches):

@@ -46,8 +46,8 @@ def stack_percentile(px: DataFrame, keys: Sequence[str], v: Column, share: float
     return px.groupBy(*keys).agg(F.percentile(v, F.lit(share)).alias(name))
 
 
-def spike_votes(px: DataFrame, pixel: Sequence[str], frame: str, v: str, unc: str, voters: int, factor: float, needed: int, veto: int) -> DataFrame:
-    """``px`` with ``spike``: whether enough of the ``voters`` frames on both sides differ by more than factor deviations of them.
+def spike_votes(px: DataFrame, pixel: Sequence[str], frame: str, v: str, unc: str, voters: int, factor: float, needed: int, veto: int, absolute: float | None = None) -> DataFrame:
+    """``px`` with ``spike``: whether enough of the ``voters`` frames on both sides differ by more than factor deviations of them, or by more than ``absolute``.
 
     An infinite uncertainty is a spike; more than ``veto`` voters against overrule.  The voters of a frame are the neighbouring
     rows of its pixel, so this is a window, not a self-join.
@@ -60,7 +60,7 @@ def spike_votes(px: DataFrame, pixel: Sequence[str], frame: str, v: str, unc: st
     mean = F.try_divide(F.aggregate(sure, F.lit(0.0), lambda a, x: a + x["v"]), count)
     near = near.withColumn("_mean", mean)
     var = F.try_divide(F.aggregate(sure, F.lit(0.0), lambda a, x: a + (x["v"] - F.col("_mean")) * (x["v"] - F.col("_mean"))), count)
-    near = near.withColumn("_limit", factor * F.sqrt(var))
+    near = near.withColumn("_limit", factor * F.sqrt(var) if absolute is None else F.lit(float(absolute)))
     yes = F.size(F.filter("_n", lambda x: F.abs(F.col(v) - x["v"]) > F.col("_limit")))
     no = F.size("_n") - yes
     flagged = ((yes > needed) & (no <= veto)) | (F.col(unc) == float("inf"))
@@ -81,8 +81,8 @@ def despike(px: DataFrame, pixel: Sequence[str], frame: str, v: str, z: float =
 
 
 def matrix_times(px: DataFrame, matrix: DataFrame, image: str = "image_id") -> DataFrame:
-    """(image, y, x, v): sum over k of matrix[y, k] * image[k, x]; the matrix (i, k, w) has one row per pair of detector rows."""
-    return px.join(F.broadcast(matrix), F.col("y") == F.col("k")).groupBy(image, F.col("i").alias("y"), "x").agg(F.sum(F.col("w") * F.col("v")).alias("v"))
+    """(image, y, x, v): sum over k of matrix[y, k] * image[k, x]; the matrix (i, k, w) has one row per pair of detector rows, millions for a large detector, so whether it is broadcast is left to its size."""
+    return px.join(matrix, F.col("y") == F.col("k")).groupBy(image, F.col("i").alias("y"), "x").agg(F.sum(F.col("w") * F.col("v")).alias("v"))
 
 
 def destreak_matrix(n: int, exposure: float, readout: float, reset: float):

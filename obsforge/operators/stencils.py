@@ -35,10 +35,11 @@ def gaussian(px: DataFrame, sigma: float, ny: int, nx: int, image: str = "image_
     return neighbours(px, r, ny, nx, image).groupBy(image, "y", "x").agg(F.try_divide(F.sum(w * F.col("v")), F.sum(F.when(F.col("v").isNotNull(), w))).alias("v"))
 
 
-def dilate(px: DataFrame, flag: str, radius: int, ny: int, nx: int, image: str = "image_id", erode: bool = False) -> DataFrame:
-    """Square dilation (or erosion) of a flag."""
+def dilate(px: DataFrame, flag: str, radius: int, ny: int, nx: int, image: str = "image_id", erode: bool = False, cross: bool = False) -> DataFrame:
+    """Dilation (or erosion) of a flag by a square, or by ``radius`` steps along rows and columns (``cross``)."""
     f = F.bool_and if erode else F.bool_or
-    return neighbours(px, radius, ny, nx, image, (flag,)).groupBy(image, "y", "x").agg(f(flag).alias(flag))
+    near = neighbours(px, radius, ny, nx, image, (flag,))
+    return (near.where(F.abs("dy") + F.abs("dx") <= radius) if cross else near).groupBy(image, "y", "x").agg(f(flag).alias(flag))
 
 
 def fill_deficient(px: DataFrame, bad: str, needed: int, widest: int, ny: int, nx: int, how: Callable[[Column], Column], image: str = "image_id") -> DataFrame:
@@ -118,13 +119,10 @@ def gaussian_kernel(sigma: float) -> Callable[[np.ndarray], np.ndarray]:
     return f
 
 
-def inpaint(a: np.ndarray, rounds: int = 1000) -> np.ndarray:
+def inpaint(a: np.ndarray) -> np.ndarray:
     """Fill missing pixels with the mean of the known ones of their 5 x 5 window, again and again until nothing changes."""
     a = a.copy()
-    for _ in range(rounds):
-        holes = np.isnan(a)
-        if not holes.any():
-            break
+    while (holes := np.isnan(a)).any():
         p = np.pad(a, 2, mode="symmetric")
         w = np.lib.stride_tricks.sliding_window_view(p, (5, 5)).reshape(*a.shape, 25)
         known = ~np.isnan(w)

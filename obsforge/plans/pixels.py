@@ -17,6 +17,7 @@ ORACLE: dict[str, str] = {}
 query = query_into(Q, ORACLE)
 r6 = lambda c, name: F.round(c, 6).alias(name)
 PX = with_(PIXELS)
+ONCE = PX.replace("px AS (", "px AS MATERIALIZED (")
 KEY = ["image_id", "y", "x"]
 
 
@@ -56,7 +57,7 @@ def flat_fielded(spark, d):
     """Division by a flat that is joined by pixel; the flat has one row per detector pixel."""
     px = pixels(spark, d)
     flat = spark.range(64).select(F.floor(F.col("id") / 8).cast("int").alias("y"), (F.col("id") % 8).cast("int").alias("x")).withColumn("flat", 1 + 0.01 * F.col("y"))
-    return px.join(F.broadcast(flat), ["y", "x"]).select(*KEY, r6(F.col("v") / F.col("flat"), "v"), r6(F.col("unc") / F.col("flat"), "unc"))
+    return px.join(flat, ["y", "x"]).select(*KEY, r6(F.col("v") / F.col("flat"), "v"), r6(F.col("unc") / F.col("flat"), "unc"))
 
 
 @query(PX + """, t AS (SELECT image_id, y, x, obs, v, unc, lead(v) OVER w AS v2, lead(unc) OVER w AS u2, lead(image_id) OVER w AS i2 FROM px WINDOW w AS (PARTITION BY obs, y, x ORDER BY image_id))
@@ -75,7 +76,7 @@ def background_subtracted(spark, d):
     """The low percentile over time taken off; masked pixels stay 0."""
     px = pixels(spark, d)
     m = px.where("NOT bad").groupBy("y", "x").agg(F.percentile("v", F.lit(0.03)).alias("mv"))
-    return px.join(F.broadcast(m), ["y", "x"]).select(*KEY, F.when(F.col("bad"), F.lit(0.0)).otherwise(F.round(F.col("v") - F.col("mv"), 6)).alias("v"))
+    return px.join(m, ["y", "x"]).select(*KEY, F.when(F.col("bad"), F.lit(0.0)).otherwise(F.round(F.col("v") - F.col("mv"), 6)).alias("v"))
 
 
 @query(with_(FILES) + """SELECT file_id, CAST((epoch_us(date_beg) - epoch_us(TIMESTAMP '2024-12-31 23:56:00')) // 60000000 % 8 AS BIGINT) AS phase,
@@ -286,7 +287,11 @@ def _matrix(spark):
     return spark.createDataFrame([(i, k, float(m[k, i])) for i in range(8) for k in range(8)], "i int, k int, w double")
 
 
-@query()
+_INVERSE = stacks.destreak_matrix(8, 1.0, 0.02, 0.01)
+
+
+@query(PX + f", m AS (SELECT * FROM (VALUES {', '.join(f'({i}, {k}, {float(_INVERSE[k, i])!r}::DOUBLE)' for i in range(8) for k in range(8))}) t(i, k, w))"
+       + "SELECT image_id, CAST(i AS INTEGER) AS y, x, round(sum(w * v), 6) AS v FROM px JOIN m ON m.k = px.y GROUP BY image_id, i, x")
 def destreaked(spark, d):
     """The transposed inverse exposure matrix times each image."""
     return stacks.matrix_times(pixels(spark, d), _matrix(spark)).select(*KEY, r6(F.col("v"), "v"))
@@ -408,7 +413,7 @@ def inpainted(spark, d):
     return stencils.on_tiles(stencils.tiles(px, 8, 8, 8, 0), stencils.inpaint, 8).select(*KEY, r6(F.col("v"), "v"))
 
 
-@query(PX + "SELECT g.image_id, g.y, g.x, round(coalesce(m.v, -1), 6) AS v FROM px g LEFT JOIN px m ON m.image_id = g.image_id AND m.y + CAST(g.image_id % 3 AS INTEGER) = g.y AND m.x - 1 = g.x")
+@query(ONCE + "SELECT g.image_id, g.y, g.x, round(coalesce(m.v, -1), 6) AS v FROM px g LEFT JOIN px m ON m.image_id = g.image_id AND m.y + CAST(g.image_id % 3 AS INTEGER) = g.y AND m.x - 1 = g.x")
 def shift_aligned(spark, d):
     px = pixels(spark, d)
     return stencils.shift_onto(px, px.select(*KEY), (F.col("image_id") % 3).cast("int"), F.lit(-1), -1.0).select(*KEY, r6(F.col("v"), "v"))
@@ -425,7 +430,7 @@ def finite_box(spark, d):
     return pixels(spark, d).where("NOT bad AND v > 0.1").groupBy("image_id").agg(F.min("y").alias("y0"), F.max("y").alias("y1"), F.min("x").alias("x0"), F.max("x").alias("x1"))
 
 
-@query(PX + """, c AS (SELECT image_id, y, x, v FROM px WHERE y % 2 = 0 AND x % 2 = 0), t AS (SELECT image_id, y, x, y // 2 * 2 AS y0, x // 2 * 2 AS x0 FROM px)
+@query(ONCE + """, c AS MATERIALIZED (SELECT image_id, y, x, v FROM px WHERE y % 2 = 0 AND x % 2 = 0), t AS (SELECT image_id, y, x, y // 2 * 2 AS y0, x // 2 * 2 AS x0 FROM px)
 SELECT t.image_id, t.y, t.x, round((1 - (t.y - y0) / 2.0) * ((1 - (t.x - x0) / 2.0) * a.v + (t.x - x0) / 2.0 * coalesce(b.v, a.v)) + (t.y - y0) / 2.0 * ((1 - (t.x - x0) / 2.0) * coalesce(c2.v, a.v) + (t.x - x0) / 2.0 * coalesce(e.v, c2.v, b.v, a.v)), 6) AS v
 FROM t JOIN c a ON a.image_id = t.image_id AND a.y = y0 AND a.x = x0 LEFT JOIN c b ON b.image_id = t.image_id AND b.y = y0 AND b.x = x0 + 2
 LEFT JOIN c c2 ON c2.image_id = t.image_id AND c2.y = y0 + 2 AND c2.x = x0 LEFT JOIN c e ON e.image_id = t.image_id AND e.y = y0 + 2 AND e.x = x0 + 2""")

@@ -41,7 +41,7 @@ def level1_quick_ready(spark, d):
     f = files(spark, d)
     o = _childless(spark, d, _obs(f, "1", "CR", "PM"), f, "2")
     m = f.where("level = '3' AND state = 'created' AND date_beg IS NOT NULL").select("observatory", micros("date_beg").alias("mus"))
-    return asof.within(o, m, ["observatory"], "us", "mus", 7_200_000_000, strict=True).groupBy("file_id").agg(F.count("*").alias("models")).where("models >= 2")
+    return asof.count_within(o, m, ["observatory"], "file_id", "us", "mus", 7_200_000_000 - 1, "models").where("models >= 2")
 
 
 @query(with_(FILES, _obs_sql("1", "'PM', 'PZ', 'PP', 'CR'")) + f""", m AS (SELECT observatory, min(epoch_us(date_beg)) AS lo, max(epoch_us(date_beg)) AS hi FROM f WHERE level = '3' AND date_beg IS NOT NULL GROUP BY observatory)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("problems", "catalog", "temporal", "sequences", "pixels", "streams", "kernels", "jobs", "products")
+MODULES = ("problems", "catalog", "temporal", "sequences", "pixels", "streams", "kernels", "jobs", "products", "archives", "imaging")
 
 
 def _all(what: str) -> dict:

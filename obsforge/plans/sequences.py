@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from obsforge.catalog import load, micros
 from obsforge.operators import sequences as seq
+from obsforge.operators import slotted
 from obsforge.plans.views import FILES, FLOWS, files, flows, query_into, with_
 
 Q: dict = {}
@@ -40,14 +41,20 @@ def cycle_groups(spark, d):
     return c.groupBy("observatory", "cycle").agg(F.min("us").alias("start_us"), F.count("*").alias("n"), F.min("file_id").alias("first_file")).drop("cycle")
 
 
-@query()
+@query("WITH RECURSIVE " + FILES + ",\n" + POL + CYCLE + """, h AS (SELECT observatory, cycle, min(us) AS us, min(file_id) AS head FROM c GROUP BY observatory, cycle HAVING count(*) = 3),
+r AS (SELECT *, row_number() OVER (ORDER BY us, head) AS i FROM h),
+g AS (SELECT i, observatory, cycle, us AS anchor, 1 AS n FROM r WHERE i = 1
+      UNION ALL SELECT r.i, r.observatory, r.cycle, CASE WHEN r.us - g.anchor > 600000000 OR g.n >= 1000 THEN r.us ELSE g.anchor END,
+      CASE WHEN r.us - g.anchor > 600000000 OR g.n >= 1000 THEN 1 ELSE g.n + 1 END FROM g JOIN r ON r.i = g.i + 1)
+SELECT g.anchor, c.observatory, c.file_id FROM g JOIN c ON c.observatory = g.observatory AND c.cycle = g.cycle""")
 def complete_triplets(spark, d):
     """Complete cycles whose first images lie within ten minutes of a group's first one, over all observatories, expanded again."""
     c = seq.cycles(pol(spark, d), ["observatory"], "us", "code", 600_000_000, "file_id")
-    whole = c.withColumn("n", F.count("*").over(Window.partitionBy("observatory", "cycle"))).where("n = 3")
-    heads = whole.groupBy("observatory", "cycle").agg(F.min("us").alias("us"), F.min("file_id").alias("head")).withColumn("day", F.floor(F.col("us") / 86_400_000_000))
-    groups = seq.anchored_groups(heads, ["day"], "us", "head", 600_000_000, 1000, "observatory string, cycle long, us long, head long, day long")
-    return whole.join(groups.select("observatory", "cycle", "anchor"), ["observatory", "cycle"]).select("anchor", "observatory", "file_id")
+    each = Window.partitionBy("observatory", "cycle")
+    whole = c.withColumn("n", F.count("*").over(each)).withColumn("head", F.min("file_id").over(each)).where("n = 3")
+    heads = whole.groupBy("head").agg(F.min("us").alias("us"))
+    groups = seq.anchored_groups(heads, [], "us", "head", 600_000_000, 1000, "head long, us long")
+    return whole.join(groups.select("head", "anchor"), "head").select("anchor", "observatory", "file_id")
 
 
 def _fold_sql(source: str, longest: int, most: int) -> str:
@@ -128,8 +135,9 @@ def admit_prefix(spark, d):
 
 @query(with_(FLOWS) + """SELECT flow_id, CAST((row_number() OVER (PARTITION BY flow_type ORDER BY creation_time NULLS LAST, flow_id) - 1) // 50 AS BIGINT) AS chunk FROM w""")
 def batches_of_fifty(spark, d):
-    w = Window.partitionBy("flow_type").orderBy(F.asc_nulls_last("creation_time"), "flow_id")
-    return flows(spark, d).select("flow_id", F.floor((F.row_number().over(w) - 1) / 50).alias("chunk"))
+    never = F.lit(1 << 56)  # flows without a time come last
+    f = flows(spark, d).select("flow_id", "flow_type", F.coalesce(micros("creation_time"), never).alias("us"))
+    return slotted.running_sum(f, ["flow_type"], "us", "flow_id", F.lit(1), "i").select("flow_id", F.floor((F.col("i") - 1) / 50).alias("chunk"))
 
 
 @query(with_(FLOWS) + f"""SELECT flow_id, CAST(greatest(priority, CASE WHEN waited > 30 THEN 10 ELSE 0 END, CASE WHEN waited > 120 THEN 20 ELSE 0 END, CASE WHEN waited > 600 THEN 30 ELSE 0 END) AS INTEGER) AS priority
@@ -140,12 +148,12 @@ def escalated_priorities(spark, d):
     return flows(spark, d).where("state = 'planned' AND creation_time IS NOT NULL").select("flow_id", F.greatest("priority", *steps).alias("priority"))
 
 
-@query("""SELECT health_id, round(avg(cpu_usage) OVER (PARTITION BY host ORDER BY epoch_us(datetime) RANGE BETWEEN 900000000 PRECEDING AND 900000000 FOLLOWING), 6) AS smooth
+@query("""SELECT health_id, round(avg(cpu_usage) OVER (PARTITION BY host ORDER BY epoch_us(datetime) RANGE BETWEEN 899999999 PRECEDING AND 900000000 FOLLOWING), 6) AS smooth
 FROM health WHERE datetime IS NOT NULL""")
 def rolling_mean(spark, d):
-    """Mean over a quarter hour on both sides."""
-    w = Window.partitionBy("host").orderBy("us").rangeBetween(-900_000_000, 900_000_000)
-    return load(spark, d, "health").where("datetime IS NOT NULL").withColumn("us", micros("datetime")).select("health_id", F.round(F.avg("cpu_usage").over(w), 6).alias("smooth"))
+    """Mean over the half hour around each reading, its left end left out."""
+    h = load(spark, d, "health").select("health_id", "host", "cpu_usage", micros("datetime").alias("us"))
+    return slotted.time_mean(h, ["host"], "us", "cpu_usage", 900_000_000, 900_000_000, "smooth").select("health_id", F.round("smooth", 6).alias("smooth"))
 
 
 @query("""WITH s AS (SELECT l_suppkey AS k, l_partkey AS b, l_partkey + CAST(l_quantity AS BIGINT) AS e FROM lineitem),
@@ -176,14 +184,14 @@ def retry_queue(spark, d):
 
 @query("""SELECT health_id, last_value(cpu_usage IGNORE NULLS) OVER (PARTITION BY host ORDER BY datetime, health_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_cpu FROM health""")
 def last_valid_reading(spark, d):
-    w = Window.partitionBy("host").orderBy("datetime", "health_id").rowsBetween(Window.unboundedPreceding, 0)
-    return load(spark, d, "health").select("health_id", F.last("cpu_usage", True).over(w).alias("last_cpu"))
+    h = load(spark, d, "health").select("health_id", "host", "cpu_usage", micros("datetime").alias("us"))
+    return slotted.last_value(h, ["host"], "us", "health_id", F.col("cpu_usage"), "last_cpu").select("health_id", "last_cpu")
 
 
 @query(with_(FILES) + """SELECT file_id, lead(file_id) OVER (PARTITION BY observatory, file_type ORDER BY date_beg, file_id) AS next_file FROM f WHERE level = '3' AND date_beg IS NOT NULL""")
 def consecutive_pairs(spark, d):
-    w = Window.partitionBy("observatory", "file_type").orderBy("date_beg", "file_id")
-    return files(spark, d).where("level = '3' AND date_beg IS NOT NULL").select("file_id", F.lead("file_id").over(w).alias("next_file"))
+    f = files(spark, d).where("level = '3' AND date_beg IS NOT NULL").select("file_id", "observatory", "file_type", micros("date_beg").alias("us"))
+    return slotted.previous(f, ["observatory", "file_type"], "us", "file_id", ["file_id"], "then", following=True).select("file_id", F.col("then.file_id").alias("next_file"))
 
 
 @query(with_(FILES) + f""", c AS (SELECT file_id, observatory, date_beg, 1 + file_id % 50 AS size FROM f WHERE date_beg IS NOT NULL),
@@ -191,10 +199,10 @@ s AS (SELECT *, sum(size) OVER (PARTITION BY observatory ORDER BY date_beg DESC,
 SELECT file_id, CASE WHEN {NOW_SQL} - epoch_us(date_beg) > 172800000000 THEN 'age' ELSE 'size' END AS reason FROM s WHERE {NOW_SQL} - epoch_us(date_beg) > 172800000000 OR held > 5000""")
 def cache_eviction(spark, d):
     """What an age limit and then a size limit, newest first, would drop."""
-    c = files(spark, d).where("date_beg IS NOT NULL").select("file_id", "observatory", "date_beg", (1 + F.col("file_id") % 50).alias("size"))
-    held = F.sum("size").over(Window.partitionBy("observatory").orderBy(F.desc("date_beg"), "file_id").rowsBetween(Window.unboundedPreceding, 0))
-    old = F.lit(now_us) - micros("date_beg") > 172_800_000_000
-    return c.withColumn("held", held).where(old | (F.col("held") > 5000)).select("file_id", F.when(old, "age").otherwise("size").alias("reason"))
+    c = files(spark, d).where("date_beg IS NOT NULL").select("file_id", "observatory", micros("date_beg").alias("us"), (-F.col("file_id")).alias("tie"))
+    held = slotted.running_sum(c, ["observatory"], "us", "tie", 1 + F.col("file_id") % 50, "held", down=True)
+    old = F.lit(now_us) - F.col("us") > 172_800_000_000
+    return held.where(old | (F.col("held") > 5000)).select("file_id", F.when(old, "age").otherwise("size").alias("reason"))
 
 
 @query(with_(FLOWS) + """SELECT flow_type, count(*) FILTER (WHERE state = 'planned') AS planned, count(*) FILTER (WHERE state IN ('launched', 'running')) AS busy,

@@ -175,6 +175,15 @@ def spatial_nearest(spark, d):
     return asof.nearest_in_grid(e, stars, "vec_id", ("x", "y"), "star", ("cx", "cy"), 0.05)
 
 
+@query("""WITH s AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings), c AS (SELECT vec_id AS star, embedding[1]::DOUBLE AS cx, embedding[2]::DOUBLE AS cy FROM embeddings WHERE vec_id % 10 = 0)
+SELECT vec_id, arg_min(star, (d, star)) AS star FROM (SELECT vec_id, star, (cx - x) * (cx - x) + (cy - y) * (cy - y) AS d FROM s, c) GROUP BY vec_id""")
+def spatial_nearest_any(spark, d):
+    """The nearest catalogue star of each point, however far it lies."""
+    e = load(spark, d, "embeddings").select("vec_id", F.element_at("embedding", 1).cast("double").alias("x"), F.element_at("embedding", 2).cast("double").alias("y"))
+    stars = e.where("vec_id % 10 = 0").select(F.col("vec_id").alias("star"), F.col("x").alias("cx"), F.col("y").alias("cy"))
+    return asof.nearest_anywhere(e, stars, "vec_id", ("x", "y"), "star", ("cx", "cy"), 0.05)
+
+
 @query(with_(FILES) + """SELECT file_id, file_type, CASE WHEN file_type[2] = 'R' THEN 'C' WHEN file_type[2] IN ('M', 'Z', 'P') THEN 'P' END AS model_kind,
 CASE observatory WHEN '1' THEN 4.9 WHEN '2' THEN 4.9 WHEN '3' THEN 4.94 WHEN '4' THEN 4.89 END AS gain FROM f""")
 def model_lookup(spark, d):
@@ -203,8 +212,7 @@ def expected_inputs(spark, d):
     f = files(spark, d).where("date_beg IS NOT NULL")
     a = f.where("level = '2'").select("file_id", "observatory", micros("date_beg").alias("us"))
     c = f.where("level = '0'").select("observatory", micros(F.date_trunc("minute", "date_beg")).alias("us2"))
-    near = asof.within(a, c, ["observatory"], "us", "us2", 1_200_000_000).groupBy("file_id").agg(F.count("*").alias("n"))
-    return a.select("file_id").join(near, "file_id", "left").select("file_id", F.coalesce("n", F.lit(0)).alias("expected"))
+    return asof.count_within(a, c, ["observatory"], "file_id", "us", "us2", 1_200_000_000, "expected")
 
 
 QUERIES = Q

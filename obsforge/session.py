@@ -32,18 +32,28 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can read: ``spark.checkpoint.dir`` of the session.
+    """The folder every executor can read: ``spark.checkpoint.dir`` of the session, else the context's checkpoint folder.
 
-    Only where the session names none (tests, a laptop) is a temporary folder
-    made and remembered in the session's configuration.
+    Only where neither is set and all executors are on this machine (tests, a laptop) is a temporary folder made and
+    remembered in the session's configuration; on a cluster that is an error.
     """
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("obsforge.shared.dir", None)
+    sc = spark.sparkContext
+    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or spark.conf.get("obsforge.shared.dir", None)
     if not where:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
         where = "file://" + os.path.abspath(tempfile.mkdtemp(prefix="obsforge-"))
         spark.conf.set("obsforge.shared.dir", where)
     return where.rstrip("/")
 
 
+def forget(spark: SparkSession) -> None:
+    """Remove all tables and filters that this engine wrote to the shared folder; for when no query's result is needed any more."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/obsforge")
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder, with its file system named."""
     where = f"{shared_dir(spark)}/obsforge/{name}-{uuid.uuid4().hex}"

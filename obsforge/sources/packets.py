@@ -84,6 +84,8 @@ def decode_fields(rows: DataFrame, dictionary: dict[int, list[tuple[str, int]]],
     shorter than its fields keeps the row, its fields null and ``error`` set.  Packets of other applications are left out.
     """
     names = list(dict.fromkeys(n for fields in dictionary.values() for n, _ in fields))
+    if clash := set(names) & {c.split()[0] for c in SCHEMA.split(", ")}:
+        raise ValueError(f"fields named like a packet's own columns: {sorted(clash)}")
     schema = f"{SCHEMA}, {', '.join(f'{n} long' for n in names)}" + (f", {tail} binary" if tail else "")
 
     def read(batches):
