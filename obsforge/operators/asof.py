@@ -173,7 +173,7 @@ def nearest_anywhere(left: DataFrame, right: DataFrame, left_id: str, xy: tuple[
     span = right.agg(*[f(c) for c in right_xy for f in (F.min, F.max)]).collect()[0]
     todo, out = materialize(left.select(left_id, *xy), "points"), None
     far = left.agg(*[f(c) for c in xy for f in (F.min, F.max)]).collect()[0]
-    if None in span or None in far:
+    if None in tuple(span) or None in tuple(far):
         return left.select(left_id, F.lit(None).cast(right.schema[right_id].dataType).alias(right_id))
     widest = max(max(span[1], far[1]) - min(span[0], far[0]), max(span[3], far[3]) - min(span[2], far[2]))
     at = right.select(F.col(right_id).alias("_r"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(right_xy)])

@@ -11,6 +11,8 @@ SAMPLE = [
     "ready_files_filter", "filter_dsl_lists", "revivable_chain", "status_cards", "parents_without_child", "gap_filled_hours", "natural_key_twins", "asof_versioned", "bracket_pair", "nearest_two",
     "interval_overlap", "polarizer_triplets", "cycle_groups", "anchored_groups", "admit_prefix", "merged_replays", "merge_inverse_variance", "image_statistics", "spike_votes", "deficient_filled_median",
     "lagged_correlation", "revive_cascade", "p1_found", "p2_found", "p6_found", "p7_found",
+    "p2_descendants", "p2_loops", "p4_found", "p6_partial", "p6_full", "complete_triplets", "rolling_mean", "last_valid_reading", "cache_eviction", "fits_compressed", "packet_archive", "mask_archive", "csv_archive",
+    "spike_areas", "despiked_filled", "destreaked_exposure", "stray_light_by_roll", "slerp_quarters", "shift_aligned", "level1_quick_ready",
 ]
 
 
