@@ -55,8 +55,22 @@ def stream_intervals(spark, d):
     return _run(spark, s, "update").withColumn("r", rank).where("r = 1").select(F.col("entity").alias("observatory"), "periods", "covered_us")
 
 
-QUERIES = {f.__name__: f for f in (stream_tumbling, stream_hopping, stream_once, stream_groups, stream_intervals)}
+def stream_cycles(spark, d):
+    """Polarization cycles per observatory that are finished a day before the stream's end."""
+    f = _stream(spark, d, "files", "observatory", "polarization", "file_id", "date_beg").where("polarization IN ('M', 'Z', 'P')").withColumn("code", F.expr("instr('MZP', polarization)"))
+    s = ingest.cycle_sessions(f, "observatory", "date_beg", "code", "file_id", 600_000_000, 2, "1 day")
+    return _run(spark, s).select(F.col("key").alias("observatory"), "start_us", "n", F.col("first_member").alias("first_file"))
+
+
+QUERIES = {f.__name__: f for f in (stream_tumbling, stream_hopping, stream_once, stream_groups, stream_intervals, stream_cycles)}
 ORACLE = {
+    "stream_cycles": """WITH a AS (SELECT file_id, observatory, epoch_us(date_beg) AS us, CAST(strpos('MZP', polarization) AS INTEGER) AS code FROM files
+  WHERE date_beg IS NOT NULL AND file_id IS NOT NULL AND observatory IS NOT NULL AND polarization IN ('M', 'Z', 'P')),
+m AS (SELECT (max(us) // 1000 - 86400000) * 1000 AS mark FROM a), p AS (SELECT a.* FROM a, m WHERE us <= mark),
+l AS (SELECT *, code - lag(code) OVER s AS rise, us - lag(us) OVER s AS pause FROM p WINDOW s AS (PARTITION BY observatory ORDER BY us, file_id)),
+c AS (SELECT *, sum(CASE WHEN rise <= 0 OR pause > 600000000 * rise OR rise IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY observatory ORDER BY us, file_id ROWS UNBOUNDED PRECEDING) AS cycle FROM l),
+g AS (SELECT observatory, cycle, min(us) AS start_us, max(us) AS last_us, count(*) AS n, arg_min(file_id, (us, file_id)) AS first_file FROM c GROUP BY observatory, cycle)
+SELECT observatory, start_us, n, first_file FROM (SELECT *, max(cycle) OVER (PARTITION BY observatory) AS newest FROM g), m WHERE cycle < newest OR last_us + 1200000000 < mark""",
     "stream_tumbling": "SELECT make_timestamp(epoch_us(timestamp) // 1920000000 * 1920000000) AS start, spacecraft_id, count(*) AS n FROM sci_xfi WHERE timestamp IS NOT NULL GROUP BY ALL",
     "stream_hopping": """WITH s AS (SELECT observatory, epoch_us(date_beg) AS us FROM files WHERE date_beg IS NOT NULL),
 h AS (SELECT observatory, unnest(CASE WHEN us % 86400000000 < 21600000000 THEN [us // 86400000000, us // 86400000000 - 1] ELSE [us // 86400000000] END) AS day FROM s)

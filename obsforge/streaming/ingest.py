@@ -80,6 +80,50 @@ def interval_maps(df: DataFrame, entity: str, beg: str, end: str) -> DataFrame:
     return spans.groupBy("entity").applyInPandasWithState(step, "entity string, periods long, gaps long, covered_us long", "begs array<long>, ends array<long>", "update", GroupStateTimeout.NoTimeout)
 
 
+def cycle_sessions(df: DataFrame, key: str, at: str, code: str, member: str, per_step_us: int, widest_step: int, late: str) -> DataFrame:
+    """(key, start_us, n, first_member) of each finished cycle: rising codes with pauses of at most ``per_step_us`` a step.
+
+    Rows wait in the state until the watermark has passed them, so they are taken in order of time however they arrive;
+    rows later than ``late`` are dropped.  A cycle is finished by the row that begins the next one, or once the stream's
+    time is past any row that could go on with it.  The state holds the rows of ``late`` and one open cycle.
+    """
+    longest = per_step_us * widest_step
+
+    def step(name, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        waiting, now = [], None
+        if state.exists:
+            us, codes, members, *now = state.get
+            waiting, now = list(zip(us, codes, members)), (list(now) if now[0] is not None else None)
+        if not state.hasTimedOut:
+            for pdf in batches:
+                waiting += list(zip(pdf["us"].tolist(), pdf["code"].tolist(), pdf["member"].tolist()))
+        mark, out = state.getCurrentWatermarkMs() * 1000, []
+        waiting.sort(key=lambda w: (w[0], w[2]))
+        ripe = sum(w[0] <= mark for w in waiting)
+        for us, c, m in waiting[:ripe]:
+            rise = c - now[0] if now else 0
+            if rise <= 0 or us - now[1] > per_step_us * rise:
+                out += [(name[0], *now[2:])] if now else []
+                now = [c, us, us, 0, m]
+            now[0], now[1], now[3] = c, us, now[3] + 1
+        waiting = waiting[ripe:]
+        if now and now[1] + longest < mark:
+            out.append((name[0], *now[2:]))
+            now = None
+        if waiting or now:
+            columns = [list(x) for x in zip(*waiting)] or [[], [], []]
+            state.update((*columns, *(now or [None] * 5)))
+            due = min([w[0] for w in waiting[:1]] + ([now[1] + longest] if now else []))
+            state.setTimeoutTimestamp(max(due // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=["key", "start_us", "n", "first_member"])
+
+    timed = df.select(F.col(key).alias("key"), F.col(code).cast("int").alias("code"), F.col(member).alias("member"), F.col(at).cast("timestamp").alias("at")).dropna().withWatermark("at", late)
+    held = "us array<long>, codes array<int>, members array<long>, code int, last_us long, start_us long, n long, first_member long"
+    return timed.withColumn("us", F.unix_micros("at")).groupBy("key").applyInPandasWithState(step, "key string, start_us long, n long, first_member long", held, "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Process what is there and stop.  Each micro-batch is written under its own number, so a repeated one replaces itself."""
 
