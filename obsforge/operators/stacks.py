@@ -8,6 +8,7 @@ samples (one per image, bounded by the frames of a window).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -53,18 +54,20 @@ def spike_votes(px: DataFrame, pixel: Sequence[str], frame: str, v: str, unc: st
     rows of its pixel, so this is a window, not a self-join.
     """
     w = Window.partitionBy(*pixel).orderBy(frame)
-    row = F.struct(F.col(v).alias("v"), F.col(unc).alias("u"))
-    near = px.withColumn("_n", F.concat(F.collect_list(row).over(w.rowsBetween(-voters, -1)), F.collect_list(row).over(w.rowsBetween(1, voters))))
-    sure = F.filter("_n", lambda x: x["u"] < 1)
-    count = F.size(sure)
-    mean = F.try_divide(F.aggregate(sure, F.lit(0.0), lambda a, x: a + x["v"]), count)
-    near = near.withColumn("_mean", mean)
-    var = F.try_divide(F.aggregate(sure, F.lit(0.0), lambda a, x: a + (x["v"] - F.col("_mean")) * (x["v"] - F.col("_mean"))), count)
+    offsets = [k for k in range(-voters, voters + 1) if k]
+    # One sort; the neighbours come as columns, so the whole vote stays in generated code.
+    near = px.select("*", *[F.lag(c, -k).over(w).alias(f"_{c}{k}") for k in offsets for c in dict.fromkeys((v, unc))])
+    at = {k: F.col(f"`_{v}{k}`") for k in offsets}
+    sure = {k: F.col(f"`_{unc}{k}`") < 1 for k in offsets}
+    total = lambda f: reduce(lambda a, b: a + b, [f(k) for k in offsets])
+    n = total(lambda k: F.when(sure[k], 1).otherwise(0))
+    near = near.withColumn("_sure", n).withColumn("_mean", F.try_divide(total(lambda k: F.when(sure[k], at[k]).otherwise(0.0)), F.col("_sure")))
+    var = F.try_divide(total(lambda k: F.when(sure[k], (at[k] - F.col("_mean")) * (at[k] - F.col("_mean"))).otherwise(0.0)), F.col("_sure"))
     near = near.withColumn("_limit", factor * F.sqrt(var) if absolute is None else F.lit(float(absolute)))
-    yes = F.size(F.filter("_n", lambda x: F.abs(F.col(v) - x["v"]) > F.col("_limit")))
-    no = F.size("_n") - yes
-    flagged = ((yes > needed) & (no <= veto)) | (F.col(unc) == float("inf"))
-    return near.withColumn("spike", F.coalesce(flagged, F.lit(False))).drop("_n", "_mean", "_limit")
+    yes = total(lambda k: F.when(F.abs(F.col(v) - at[k]) > F.col("_limit"), 1).otherwise(0))
+    there = total(lambda k: F.when(at[k].isNotNull(), 1).otherwise(0))
+    flagged = ((yes > needed) & (there - yes <= veto)) | (F.col(unc) == float("inf"))
+    return near.withColumn("spike", F.coalesce(flagged, F.lit(False))).select(*px.columns, "spike")
 
 
 def despike(px: DataFrame, pixel: Sequence[str], frame: str, v: str, z: float = 10.0) -> DataFrame:
