@@ -181,3 +181,13 @@ def slerp(a: Sequence[Column], b: Sequence[Column], part: float) -> list[Column]
     sign, angle = F.when(dot < 0, -1).otherwise(1), F.acos(F.least(F.lit(1.0), F.abs(dot)))
     weight = lambda p: F.when(angle < 1e-6, F.lit(p)).otherwise(F.sin(p * angle) / F.sin(angle))
     return [weight(1 - part) * x + weight(part) * sign * y for x, y in zip(a, b)]
+
+
+def hsv_to_rgb(hue: Column, saturation: Column, value: Column) -> tuple[Column, Column, Column]:
+    """Red, green and blue in [0, 1] of a hue in degrees and saturation and value in [0, 1]."""
+
+    def part(n: int) -> Column:
+        k = F.pmod(n + hue / 60, F.lit(6.0))
+        return value - value * saturation * F.greatest(F.lit(0.0), F.least(k, 4 - k, F.lit(1.0)))
+
+    return part(5), part(3), part(1)

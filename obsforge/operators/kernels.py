@@ -198,3 +198,20 @@ def cubic_fill(a: np.ndarray) -> np.ndarray:
         if found:
             out[y, x] = np.mean(found)
     return out
+
+
+def fill_holes(a: np.ndarray) -> np.ndarray:
+    """A mask (1 and 0) with the unset stretches set that four-neighbour steps don't join to the edge."""
+    free = np.pad(a == 0, 1, constant_values=True)
+    outside = np.zeros_like(free)
+    outside[0], outside[-1], outside[:, 0], outside[:, -1] = True, True, True, True
+    while True:
+        grown = outside.copy()
+        grown[1:] |= outside[:-1]
+        grown[:-1] |= outside[1:]
+        grown[:, 1:] |= outside[:, :-1]
+        grown[:, :-1] |= outside[:, 1:]
+        grown &= free
+        if (grown == outside).all():
+            return (~outside[1:-1, 1:-1]).astype(float)
+        outside = grown

@@ -111,6 +111,40 @@ def band_limits(spark, d):
     return spark.range(8).select(i.cast("int").alias("band"), *[r6(5 + (i + k) * 1.75, n) for k, n in ((0, "lo"), (1, "hi"), (0.5, "mid"))])
 
 
+_ANGLE = "radians(image_id * 7 % 31 - 15)"
+
+
+@query(PX + f""", g AS (SELECT image_id, y, x, 3.5 + (cos({_ANGLE}) * (x - 3.5) - sin({_ANGLE}) * (y - 3.5)) * 1.1 AS ix, 3.5 + (sin({_ANGLE}) * (x - 3.5) + cos({_ANGLE}) * (y - 3.5)) * 1.1 AS iy FROM px),
+k AS (SELECT *, CAST(floor(ix) AS INTEGER) AS x0, CAST(floor(iy) AS INTEGER) AS y0 FROM g)
+SELECT k.image_id, k.y, k.x, round(sum(p.v * (1 - abs(iy - p.y)) * (1 - abs(ix - p.x))), 6) AS v FROM k JOIN px p ON p.image_id = k.image_id AND p.y BETWEEN y0 AND y0 + 1 AND p.x BETWEEN x0 AND x0 + 1
+GROUP BY k.image_id, k.y, k.x HAVING count(*) = 4""")
+def reprojected_linear(spark, d):
+    """Each image from its own frame (a rotation and a step) onto a common one, between its four nearest pixels; places beyond its edge are left out.
+
+    The frame's matrix maps each target pixel back; four source pixels are joined to it, so no image is gathered.
+    """
+    px = pixels(spark, d)
+    angle = F.radians(F.col("image_id") * 7 % 31 - 15)
+    a, b, c, e = ph.pc_matrix(F.degrees(angle), 1.0, 1.0)
+    dx, dy = F.col("x") - 3.5, F.col("y") - 3.5
+    g = px.select(*KEY, (3.5 + (a * dx + b * dy) * 1.1).alias("ix"), (3.5 + (c * dx + e * dy) * 1.1).alias("iy"))
+    side = F.explode(F.array(F.lit(0), F.lit(1)))
+    four = g.withColumn("sy", side).withColumn("sx", side).withColumn("sy", (F.floor("iy") + F.col("sy")).cast("int")).withColumn("sx", (F.floor("ix") + F.col("sx")).cast("int"))
+    source = px.select("image_id", F.col("y").alias("sy"), F.col("x").alias("sx"), "v")
+    weight = (1 - F.abs(F.col("iy") - F.col("sy"))) * (1 - F.abs(F.col("ix") - F.col("sx")))
+    got = four.join(source, ["image_id", "sy", "sx"]).groupBy(*KEY).agg(F.count("*").alias("n"), F.sum(F.col("v") * weight).alias("v"))
+    return got.where("n = 4").select(*KEY, r6(F.col("v"), "v"))
+
+
+@query("""WITH s AS (SELECT vec_id, 4 + 12 * embedding[1]::DOUBLE AS x, 4 + 12 * embedding[2]::DOUBLE AS y, 6 + 20 * embedding[3]::DOUBLE AS magnitude FROM embeddings)
+SELECT vec_id, round(x, 6) AS x, round(y, 6) AS y FROM s WHERE magnitude < 7 AND x >= -0.5 AND x < 7.5 AND y >= -0.5 AND y < 7.5""")
+def stars_in_frame(spark, d):
+    """Catalogue stars brighter than a limit whose place falls onto the detector."""
+    e = lambda i: F.element_at("embedding", i).cast("double")
+    s = load(spark, d, "embeddings").select("vec_id", (4 + 12 * e(1)).alias("x"), (4 + 12 * e(2)).alias("y"), (6 + 20 * e(3)).alias("magnitude"))
+    return s.where("magnitude < 7 AND x >= -0.5 AND x < 7.5 AND y >= -0.5 AND y < 7.5").select("vec_id", r6(F.col("x"), "x"), r6(F.col("y"), "y"))
+
+
 # --- Stacks ---
 
 
@@ -213,6 +247,37 @@ def stray_light_by_roll(spark, d):
     return stencils.gaussian(middle, 1.0, N, N).select("image_id.obs", "image_id.bin", "y", "x", r6(F.col("v"), "v"))
 
 
+@query(PX + """, q AS (SELECT image_id, y, x, NOT bad AS fine FROM px)
+SELECT a.image_id, a.y, a.x FROM q a JOIN q b ON b.image_id = a.image_id AND abs(a.y - b.y) + abs(a.x - b.x) <= 1 GROUP BY a.image_id, a.y, a.x HAVING count(*) FILTER (WHERE b.fine) = 5""")
+def edges_trimmed(spark, d):
+    """Usable pixels all of whose four neighbours are there and usable: the mask without its rim."""
+    near = stencils.neighbours(pixels(spark, d).withColumn("fine", ~F.col("bad")), 1, N, N, cols=("fine",))
+    return near.where(F.abs("dy") + F.abs("dx") <= 1).groupBy(*KEY).agg(F.count_if("fine").alias("n")).where("n = 5").select(*KEY)
+
+
+def holes_filled(spark, d):
+    """Masks with the stretches filled that no path joins to the edge."""
+    px = pixels(spark, d).withColumn("v", (F.col("v") > 0.05).cast("double"))
+    return stencils.on_tiles(stencils.tiles(px, N, N, N, 0), kernels.fill_holes, N).where("v > 0").select(*KEY)
+
+
+Q["holes_filled"] = holes_filled
+
+
+HSV = "round(val - val * sat * greatest(0, least(k{n}, 4 - k{n}, 1)), 6) AS {c}"
+
+
+@query(PX + """, t AS (SELECT image_id, y, x, (degrees(atan2(v, unc)) + 360) % 360 AS hue, least(1, unc / 1.3) AS sat, greatest(0, least(1, abs(v) * 4)) AS val FROM px),
+k AS (SELECT *, (5 + hue / 60) % 6 AS k5, (3 + hue / 60) % 6 AS k3, (1 + hue / 60) % 6 AS k1 FROM t)
+SELECT image_id, y, x, """ + ", ".join(HSV.format(n=n, c=c) for n, c in ((5, "red"), (3, "green"), (1, "blue"))) + " FROM k")
+def colour_map(spark, d):
+    """Direction as hue, degree as saturation and brightness as value, to red, green and blue."""
+    hue = F.pmod(F.degrees(F.atan2("v", "unc")) + 360, F.lit(360.0))
+    t = pixels(spark, d).select(*KEY, hue.alias("hue"), F.least(F.lit(1.0), F.col("unc") / 1.3).alias("sat"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.abs("v") * 4)).alias("val"))
+    rgb = ph.hsv_to_rgb(F.col("hue"), F.col("sat"), F.col("val"))
+    return t.select(*KEY, *[r6(c, n) for c, n in zip(rgb, ("red", "green", "blue"))])
+
+
 def scattered_filled(spark, d):
     """Missing pixels by a cubic through the known ones, two ways: along each row and column, averaged."""
     px = pixels(spark, d).withColumn("v", F.when((F.col("image_id") + F.col("y") * 3 + F.col("x")) % 7 != 0, F.col("v")))

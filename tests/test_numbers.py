@@ -160,3 +160,23 @@ def test_anchored_groups(spark):
     got = {r.t: r.anchor for r in sequences.anchored_groups(df, ["k"], "t", "id", 10, 3, "k int, t long, id long").collect()}
     assert got == {0: 0, 4: 0, 9: 0, 11: 11, 12: 11, 30: 30, 31: 30, 41: 41, 60: 60}
     assert sequences.anchored_groups(df.limit(0), ["k"], "t", "id", 10, 3, "k int, t long, id long").count() == 0
+
+
+def test_holes_and_cubic_fill():
+    from obsforge.operators import kernels
+
+    a = np.zeros((7, 8))
+    a[1:5, 1:5] = 1
+    a[2:4, 2:4] = 0  # a hole
+    a[5, 6] = 1
+    want = a.copy()
+    want[2:4, 2:4] = 1
+    assert (kernels.fill_holes(a) == want).all()
+    a[1, 2] = 0  # now open to the edge
+    assert (kernels.fill_holes(a) == a).all()
+    y, x = np.mgrid[0:8, 0:8].astype(float)
+    cube = 2 * y**3 - y * x + x**3
+    holed = cube.copy()
+    holed[3, 4] = holed[5, 2] = np.nan
+    assert np.allclose(kernels.cubic_fill(holed), cube)
+    assert np.isnan(kernels.cubic_fill(np.full((3, 3), np.nan))).all()
