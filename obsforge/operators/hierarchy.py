@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from obsforge.operators.skew import SHARE, hot_keys
 from obsforge.session import materialize
 
-STATE = "node long, anc long, dist int, low long, done boolean, path string"
+LEAST, LONGEST = 1000, 4096
 
 
 @dataclass
@@ -36,14 +36,16 @@ def _jump(state: DataFrame, paths: bool, left: int) -> DataFrame:
     """One doubling of the pointers that aren't done, of which there are ``left``.
 
     After a few rounds a third of all nodes may point at one ancestor.  The rows of such ancestors, at most SHARE
-    by their share of the pointers, are broadcast; only the other pointers are shuffled to their ancestors.
+    by their share of the pointers and with paths of at most LONGEST characters, are broadcast; the other pointers
+    are shuffled to their ancestors.
     """
     u = state.where("NOT done")
-    hot = F.broadcast(u.groupBy("anc").agg(F.count("*").alias("n")).where(F.col("n") > max(1000, left // SHARE)).select("anc"))
+    hot = F.broadcast(u.groupBy("anc").agg(F.count("*").alias("n")).where(F.col("n") > max(LEAST, left // SHARE)).select("anc"))
     a = state.select(*[F.col(c).alias(f"to_{c}") for c in ("node", "anc", "dist", "low", "done", "path")])
-    heads = F.broadcast(a.join(hot, F.col("to_node") == F.col("anc")).drop("anc"))
+    heads = a.where(F.coalesce(F.length("to_path"), F.lit(0)) <= LONGEST).join(hot, F.col("to_node") == F.col("anc")).drop("anc")
     on = F.col("anc") == F.col("to_node")
-    met = u.join(heads, on).unionByName(u.join(hot, "anc", "left_anti").select(u.columns).join(a, on))
+    rest = u.join(F.broadcast(heads.select(F.col("to_node").alias("anc"))), "anc", "left_anti").select(u.columns)
+    met = u.join(F.broadcast(heads), on).unionByName(rest.join(a, on))
     path = F.concat_ws("/", "to_path", "path") if paths else F.lit(None).cast("string")
     dist = F.col("dist") + F.col("to_dist") if paths else F.lit(0)
     return met.select("node", F.col("to_anc").alias("anc"), dist.alias("dist"), F.least("low", "to_low").alias("low"), F.col("to_done").alias("done"), path.alias("path"))

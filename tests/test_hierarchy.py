@@ -58,3 +58,13 @@ def test_hot_parent(spark, monkeypatch):
 
     monkeypatch.setattr(m, "hot_keys", lambda df, key: skew.hot_keys(df, key, share=10, least=5))
     check(spark, [(1, i) for i in range(2, 200)] + [(2, 500), (500, 501)])
+
+
+def test_many_pointers_at_one_ancestor(spark, monkeypatch):
+    import obsforge.operators.hierarchy as m
+
+    links = [(1, 10 + i) for i in range(30)] + [(10 + i, 100 + i) for i in range(30)] + [(100 + i, 200 + i) for i in range(30)] + [(7, 8), (8, 7), (8, 9), (9, 300)] + [(9, 310 + i) for i in range(9)] + [(310 + i, 400 + i) for i in range(9)]
+    monkeypatch.setattr(m, "LEAST", 3)
+    check(spark, links)
+    monkeypatch.setattr(m, "LONGEST", 2)
+    check(spark, links)
