@@ -4,7 +4,7 @@ An ordered map of disjoint intervals per entity is kept as keyed state: each
 insertion finds the overlapped stretch by binary search and merges it.  The map
 runs in three places: per task, before any shuffle (arrivals are nearly in order,
 so this leaves few intervals); per (entity, slot of time), so that an entity with
-a third of all rows spreads over many tasks; and, in ``obsforge.streaming.intervals``,
+a third of all rows spreads over many tasks; and, in ``obsforge.streaming.ingest``,
 per entity over a stream.  Intervals are cut at slot borders and joined again
 across them through one summary row a slot.
 

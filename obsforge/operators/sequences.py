@@ -81,6 +81,29 @@ def merge_blocks(df: DataFrame, keys: Sequence[str], start: str, length: str, to
     return cut.withColumn("_i", F.sum("_cut").over(w)).groupBy(*keys, "_i").agg(F.min(start).alias("start"), F.max("_end").alias("end"), F.count("*").alias("requests")).drop("_i")
 
 
+def ring_blocks(df: DataFrame, keys: Sequence[str], start: str, length: str, low: int = 2048, high: int = 24575) -> DataFrame:
+    """(keys, start_block, replay_length, requests): replay requests on each key's ring of flash blocks, merged where they overlap or touch.
+
+    Requests that begin outside the ring, and null ones, are left out; a negative length wraps around the ring's end, and
+    what reaches beyond the end joins the requests at its beginning.  A merged request's length counts both its ends, a
+    single one keeps its own.  Requests of one start are counted before the shuffle, so a key has at most one row a block.
+    """
+    size = high - low + 1
+    whole = F.when(F.col(length) < 0, F.col(length) + size).otherwise(F.col(length)).cast("long")
+    spans = df.where(F.col(start).between(low, high) & F.col(length).isNotNull()).groupBy(*keys, F.col(start).cast("long").alias("b")).agg(F.max(whole).alias("w"), F.count("*").alias("n"))
+    own = Window.partitionBy(*keys)
+    order = own.orderBy("b")
+    reach = F.max(F.col("b") + F.col("w")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    cut = spans.withColumn("c", F.coalesce((F.col("b") > reach).cast("int"), F.lit(1))).withColumn("i", F.sum("c").over(order))
+    groups = cut.groupBy(*keys, "i").agg(F.min("b").alias("b"), F.max(F.col("b") + F.col("w")).alias("e"), F.sum("n").alias("n"))
+    last = groups.withColumn("last", F.max("i").over(own)).withColumn("over", F.max(F.when(F.col("i") == F.col("last"), F.col("e") - size)).over(own))
+    taken = (F.col("i") < F.col("last")) & (F.col("over") > low) & (F.col("b") <= F.col("over"))
+    shift = lambda c: F.when(taken, F.col(c) + size).otherwise(F.col(c)).alias(c)
+    at = last.select(*keys, F.when(taken, F.col("last")).otherwise(F.col("i")).alias("i"), shift("b"), shift("e"), "n")
+    done = at.groupBy(*keys, "i").agg(F.min("b").alias("b"), F.max("e").alias("e"), F.sum("n").alias("n"))
+    return done.select(*keys, F.col("b").alias("start_block"), F.when(F.col("n") == 1, F.col("e") - F.col("b")).otherwise(F.col("e") - F.col("b") + 1).alias("replay_length"), F.col("n").alias("requests"))
+
+
 def ring_requests(requests: pd.DataFrame, low: int = 2048, high: int = 24575, since=None, until=None) -> pd.DataFrame:
     """Replay requests (start_time, start_block, replay_length) on a ring of flash blocks, merged where they overlap or touch.
 

@@ -165,6 +165,24 @@ def merged_replays(spark, d):
     return seq.merge_blocks(s, ["l_suppkey"], "start", "length")
 
 
+_RING = "spacecraft_id, 1024 + (id * 7919) % 25000 AS b, CASE WHEN id % 40 = 0 THEN -22000 ELSE id % 5 END AS len FROM eng_pfw WHERE spacecraft_id IS NOT NULL"
+
+
+@query(f"""WITH r AS (SELECT {_RING}), s AS (SELECT spacecraft_id, b, max(CASE WHEN len < 0 THEN len + 22528 ELSE len END) AS w, count(*) AS n FROM r WHERE b BETWEEN 2048 AND 24575 GROUP BY spacecraft_id, b),
+m AS (SELECT *, max(b + w) OVER (PARTITION BY spacecraft_id ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM s),
+g AS (SELECT *, sum(CASE WHEN b > reach OR reach IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY spacecraft_id ORDER BY b) AS i FROM m),
+k AS (SELECT spacecraft_id, i, min(b) AS b, max(b + w) AS e, sum(n) AS n FROM g GROUP BY spacecraft_id, i),
+l AS (SELECT *, max(i) OVER (PARTITION BY spacecraft_id) AS newest, arg_max(e, i) OVER (PARTITION BY spacecraft_id) - 22528 AS over FROM k),
+t AS (SELECT *, i < newest AND over > 2048 AND b <= over AS taken FROM l),
+u AS (SELECT spacecraft_id, CASE WHEN taken THEN newest ELSE i END AS i, min(b + CASE WHEN taken THEN 22528 ELSE 0 END) AS b, max(e + CASE WHEN taken THEN 22528 ELSE 0 END) AS e, sum(n) AS n FROM t GROUP BY 1, 2)
+SELECT spacecraft_id, b AS start_block, CASE WHEN n = 1 THEN e - b ELSE e - b + 1 END AS replay_length, CAST(n AS BIGINT) AS requests FROM u""")
+def ring_replays(spark, d):
+    """Replay requests per spacecraft on a ring of flash blocks, with requests that wrap around its end."""
+    e = load(spark, d, "eng_pfw").where("spacecraft_id IS NOT NULL")
+    r = e.select("spacecraft_id", (1024 + F.col("id") * 7919 % 25000).alias("b"), F.when(F.col("id") % 40 == 0, -22000).otherwise(F.col("id") % 5).alias("len"))
+    return seq.ring_blocks(r, ["spacecraft_id"], "b", "len")
+
+
 @query("""WITH p AS (SELECT spacecraft_id, packet_group, ccsds_sequence_count AS n, lag(ccsds_sequence_count) OVER (PARTITION BY spacecraft_id, packet_group ORDER BY timestamp, id) AS before FROM sci_xfi WHERE packet_group IS NOT NULL)
 SELECT spacecraft_id, packet_group, count(*) AS packets, bool_and(before IS NULL OR (n - before) IN (1, -16383)) AS contiguous FROM p GROUP BY spacecraft_id, packet_group""")
 def packet_contiguity(spark, d):

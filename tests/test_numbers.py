@@ -180,3 +180,15 @@ def test_holes_and_cubic_fill():
     holed[3, 4] = holed[5, 2] = np.nan
     assert np.allclose(kernels.cubic_fill(holed), cube)
     assert np.isnan(kernels.cubic_fill(np.full((3, 3), np.nan))).all()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ring_blocks_against_the_list(spark, seed):
+    rng = np.random.default_rng(seed)
+    rows = [("a" if rng.random() < 0.7 else "b", int(rng.integers(1900, 2200) if rng.random() < 0.5 else rng.integers(24400, 24700)), int(rng.integers(0, 12)) if rng.random() < 0.8 else int(rng.integers(-22520, -22300))) for _ in range(40)]
+    got = {(r.k, r.start_block, r.replay_length) for r in sequences.ring_blocks(spark.createDataFrame([*rows, ("a", None, 3), ("b", 2050, None)], "k string, b int, len int"), ["k"], "b", "len").collect()}
+    want = set()
+    for k in "ab":
+        own = pd.DataFrame([(b, n) for key, b, n in rows if key == k], columns=["start_block", "replay_length"])
+        want |= {(k, int(b), int(n)) for b, n in sequences.ring_requests(own)[["start_block", "replay_length"]].itertuples(index=False)}
+    assert got == want
