@@ -184,12 +184,6 @@ def rounded_time_groups(spark, d):
     return f.groupBy("level", "slot").agg(F.count("*").alias("n"), F.min("file_id").alias("representative"))
 
 
-@query("""SELECT coalesce(min(date_beg), TIMESTAMP '1900-01-01') AS first_date, coalesce(max(date_beg), TIMESTAMP '2900-01-01') AS last_date FROM files WHERE file_type = 'ZZ'""")
-def range_with_defaults(spark, d):
-    end = lambda f, c, x: F.coalesce(f(c), F.lit(x).cast("timestamp_ntz"))
-    return load(spark, d, "files").where("file_type = 'ZZ'").agg(end(F.min, "date_beg", "1900-01-01").alias("first_date"), end(F.max, "date_beg", "2900-01-01").alias("last_date"))
-
-
 @query(with_(FILES) + """, e AS (SELECT * FROM (VALUES ('1', 'PM', 50), ('2', 'CR', 20), ('3', 'PT', 1), ('9', 'XX', 1)) v(level, file_type, least))
 SELECT e.level, e.file_type, count(f.file_id) AS n, count(f.file_id) < e.least AS alarm FROM e LEFT JOIN f ON f.level = e.level AND f.file_type = e.file_type GROUP BY e.level, e.file_type, e.least""")
 def product_watchdog(spark, d):

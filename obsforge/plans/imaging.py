@@ -148,13 +148,13 @@ def stars_in_frame(spark, d):
 # --- Stacks ---
 
 
-@query(PX + """, p AS (SELECT image_id // 3 AS g, image_id % 3 AS k, y, x, v, unc FROM px WHERE NOT bad AND image_id % 7 <> 2),
+@query(PX + """, p AS (SELECT image_id // 3 AS g, image_id % 3 AS k, y, x, v, unc FROM px WHERE NOT bad),
 t AS (SELECT g, y, x, max(v) FILTER (WHERE k = 0) AS m, max(v) FILTER (WHERE k = 1) AS z, max(v) FILTER (WHERE k = 2) AS p, count(*) AS n FROM p GROUP BY g, y, x)
 SELECT g, y, x, round(coalesce(m, 0), 6) AS m, round(coalesce(z, 0), 6) AS z, round(coalesce(p, 0), 6) AS p, CAST(3 - n AS BIGINT) AS missing,
 round(2.0::DOUBLE / 3 * (coalesce(m, 0) + coalesce(z, 0) + coalesce(p, 0)), 6) AS total FROM t""")
 def merged_angles(spark, d):
     """The three angles of a group side by side, a missing one as zero, and their two thirds' sum."""
-    px = pixels(spark, d).where("NOT bad AND image_id % 7 <> 2").withColumn("g", F.floor(F.col("image_id") / 3)).withColumn("k", F.col("image_id") % 3)
+    px = pixels(spark, d).where("NOT bad").withColumn("g", F.floor(F.col("image_id") / 3)).withColumn("k", F.col("image_id") % 3)
     t = px.groupBy("g", "y", "x").agg(*[F.coalesce(F.max(F.when(F.col("k") == i, F.col("v"))), F.lit(0.0)).alias(c) for i, c in enumerate("mzp")], (3 - F.count("*")).alias("missing"))
     return t.select("g", "y", "x", *[r6(F.col(c), c) for c in "mzp"], "missing", r6((F.col("m") + F.col("z") + F.col("p")) * (2.0 / 3), "total"))
 

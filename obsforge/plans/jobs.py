@@ -120,15 +120,6 @@ def residual_batch(spark, d):
     return q.where((newest - micros("date_beg") <= 1_296_000_000_000) & (n >= 10)).select("file_id")
 
 
-@query(with_(FILES) + """, a AS (SELECT file_id, observatory, file_type, date_beg, row_number() OVER (PARTITION BY observatory, file_type ORDER BY date_beg DESC, file_id) AS rn FROM f WHERE level = '3' AND state = 'created' AND date_beg IS NOT NULL)
-SELECT observatory, file_type, min(file_id) AS lowest, count(*) AS n FROM a WHERE rn <= 5 GROUP BY observatory, file_type""")
-def upload_batches(spark, d):
-    """The five newest products of each kind."""
-    w = Window.partitionBy("observatory", "file_type").orderBy(F.desc("date_beg"), "file_id")
-    a = files(spark, d).where("level = '3' AND state = 'created' AND date_beg IS NOT NULL").withColumn("rn", F.row_number().over(w)).where("rn <= 5")
-    return a.groupBy("observatory", "file_type").agg(F.min("file_id").alias("lowest"), F.count("*").alias("n"))
-
-
 @query(with_(FILES) + """SELECT observatory, file_type, (row_number() OVER (PARTITION BY observatory, file_type ORDER BY date_beg DESC NULLS LAST, file_id) - 1) // 5 + 1 AS batch, file_id
 FROM f WHERE level = '3' AND state = 'created'""")
 def upload_batch_files(spark, d):

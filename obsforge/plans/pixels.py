@@ -206,10 +206,12 @@ def merge_polarized(spark, d):
     return _rounded(stacks.merge_inverse_variance(px, ["pol", "y", "x"]), "pol", "y", "x")
 
 
-@query(PX.replace("AS bad FROM", "AS bad, vec_id // 8 AS slot FROM").replace("range(1, 65) AS t(i)", "range(1, 65) AS t(i) WHERE vec_id % 11 <> 0") + MERGE.format(keys="slot, y, x"))
+@query(PX.replace("AS bad FROM", "AS bad, vec_id // 8 AS slot FROM").replace("range(1, 65) AS t(i)", "range(1, 65) AS t(i) WHERE NOT embedding[1]::DOUBLE > 0.2::DOUBLE") + MERGE.format(keys="slot, y, x"))
 def low_noise_average(spark, d):
-    """Merged windows of eight images without the outliers."""
-    px = _with_bad(spark, d).where("image_id % 11 <> 0").withColumn("slot", F.floor(F.col("image_id") / 8))
+    """Merged windows of eight images without the outliers, here those whose first pixel is too bright."""
+    px = _with_bad(spark, d)
+    outliers = px.where("y = 0 AND x = 0 AND v > 0.2").select("image_id")
+    px = px.join(outliers, "image_id", "left_anti").withColumn("slot", F.floor(F.col("image_id") / 8))
     return _rounded(stacks.merge_inverse_variance(px, ["slot", "y", "x"]), "slot", "y", "x")
 
 
@@ -232,14 +234,6 @@ def stack_percentile(spark, d):
     return pixels(spark, d).groupBy("y", "x").agg(r6(F.percentile(v, F.lit(0.03)), "p03"), r6(F.percentile(v, F.lit(0.5)), "p50"))
 
 
-@query(PX + "SELECT obs, y, x, list(round(v, 6) ORDER BY v)[:5] AS dimmest FROM px WHERE NOT bad GROUP BY obs, y, x")
-def stack_sort(spark, d):
-    """The five dimmest values of each pixel, in order, by rank, so that no stack is gathered."""
-    w = Window.partitionBy("obs", "y", "x").orderBy("v")
-    few = pixels(spark, d).where("NOT bad").withColumn("r", F.row_number().over(w)).where("r <= 5")
-    return few.groupBy("obs", "y", "x").agg(F.transform(F.array_sort(F.collect_list("v")), lambda v: F.round(v, 6)).alias("dimmest"))
-
-
 @query(PX + """SELECT obs, y, x, image_id, CAST(row_number() OVER (PARTITION BY obs, y, x ORDER BY bad, v, image_id) AS INTEGER) AS rank, CASE WHEN NOT bad THEN round(v, 6) END AS v
 FROM (SELECT * REPLACE (CASE WHEN NOT bad THEN v END AS v) FROM px)""")
 def stack_sorted(spark, d):
@@ -317,15 +311,6 @@ def lagged_correlation(spark, d):
     return b.join(a, ["nxt", "y", "x"]).groupBy("image_id", "lag").agg(r6(F.avg(F.col("v") * F.col("v2")), "corr"))
 
 
-@query(PX + """, a AS (SELECT * FROM px WHERE obs = 0 AND image_id % 4 = 0)
-SELECT p.image_id AS a, q.image_id AS b, round(sum(p.v * q.v), 5) AS dot FROM a p JOIN a q ON p.y = q.y AND p.x = q.x AND p.image_id <= q.image_id GROUP BY p.image_id, q.image_id""")
-def gram_matrix(spark, d):
-    """Inner products of the images of a fitting set (bounded by its target number): the start of the principal components."""
-    a = pixels(spark, d).where("obs = 0 AND image_id % 4 = 0")
-    p, q = a.select(F.col("image_id").alias("a"), "y", "x", F.col("v").alias("v1")), a.select(F.col("image_id").alias("b"), "y", "x", F.col("v").alias("v2"))
-    return p.join(q, ["y", "x"]).where("a <= b").groupBy("a", "b").agg(F.round(F.sum(F.col("v1") * F.col("v2")), 5).alias("dot"))
-
-
 @query("""SELECT observatory, round(degrees(atan2(avg(sin(radians(crota))), avg(cos(radians(crota))))), 4) AS mean_angle, round(sqrt(avg(crota * crota)), 4) AS rms FROM files WHERE crota IS NOT NULL GROUP BY observatory""")
 def circular_mean(spark, d):
     a = F.radians("crota")
