@@ -16,10 +16,14 @@ def _run(spark, stream, mode="append"):
     return spark.read.schema(stream.schema.add("batch", "integer")).parquet(f"{out}/rows")
 
 
-def _stream(spark, d, name, *cols):
-    """The table as it is delivered: a file, or a folder of files taken one by one.  A pattern, as a stream's plain path must be a folder."""
+#: Bytes of files in a micro-batch of the queries whose work is small beside a micro-batch's fixed cost (state of all partitions read and committed).
+BATCH_BYTES = 256 << 20
+
+
+def _stream(spark, d, name, *cols, batch_bytes=None):
+    """The table as it is delivered: a file, or a folder of files taken one by one, or ``batch_bytes`` at a time.  A pattern, as a stream's plain path must be a folder."""
     like = load(spark, d, name)
-    return ingest.read_table(spark, f"{d}/{name}.parque[t]", like).select(*cols)
+    return ingest.read_table(spark, f"{d}/{name}.parque[t]", like, bytes_per_trigger=batch_bytes).select(*cols)
 
 
 def stream_tumbling(spark, d):
@@ -44,7 +48,7 @@ def stream_once(spark, d):
 
 def stream_groups(spark, d):
     """Flows whose two files have all arrived."""
-    s = ingest.complete_groups(_stream(spark, d, "files", "processing_flow", "file_id", "date_beg").where("processing_flow IS NOT NULL AND date_beg IS NOT NULL"), "processing_flow", "file_id", "date_beg", 2, 3_600_000, "3650 days")
+    s = ingest.complete_groups(_stream(spark, d, "files", "processing_flow", "file_id", "date_beg", batch_bytes=BATCH_BYTES).where("processing_flow IS NOT NULL AND date_beg IS NOT NULL"), "processing_flow", "file_id", "date_beg", 2, 3_600_000, "3650 days")
     return _run(spark, s, "update").where("complete").select("grp").distinct()
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from obsforge.operators.intervals import IntervalMap
 
 
-def read_table(spark: SparkSession, path: str, like: DataFrame, per_trigger: int = 1) -> DataFrame:
-    """A folder of Parquet files as a stream, so many files a micro-batch."""
-    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+def read_table(spark: SparkSession, path: str, like: DataFrame, per_trigger: int = 1, bytes_per_trigger: int | None = None) -> DataFrame:
+    """A folder of Parquet files as a stream, so many files a micro-batch, or as many as have so many bytes (one at least)."""
+    limit = ("maxBytesPerTrigger", bytes_per_trigger) if bytes_per_trigger else ("maxFilesPerTrigger", per_trigger)
+    return spark.readStream.schema(like.schema).option(*limit).parquet(path)
 
 
 def once(df: DataFrame, keys: list[str], ts: str, late: str = "7 days") -> DataFrame:
@@ -32,32 +34,54 @@ def tumbling_counts(df: DataFrame, ts: str, width: str, keys: list[str], late: s
     return timed.groupBy(F.window(ts, width, slide or width).alias("w"), *keys).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *keys, "n")
 
 
-def complete_groups(df: DataFrame, group: str, member: str, ts: str, size: int, timeout_ms: int, late: str = "7 days") -> DataFrame:
+def complete_groups(df: DataFrame, group: str, member: str, ts: str, size: int, timeout_ms: int, late: str = "7 days", buckets: int = 256) -> DataFrame:
     """(group, members, complete): a group is given out when it has ``size`` different members, or unfinished once the stream's
-    time is ``timeout_ms`` past its last member.  The state of a group is at most ``size`` member ids.
+    time is ``timeout_ms`` past its last member.  A group is held as at most ``size`` member ids.
+
+    The state is keyed by bucket, as a call and a state row for each group cost far more than its members.  A bucket holds its
+    open groups as arrays, which are worked on together; ``buckets`` must stay as it is for the life of a checkpoint.
     """
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        have = set(state.get[0]) if state.exists else set()
-        if state.hasTimedOut:
+        mark = state.getCurrentWatermarkMs()
+        groups, due, sizes, members = (np.array(x, np.int64) for x in (state.get if state.exists else [()] * 4))
+        owners, seen, members = [np.repeat(groups, sizes)], [groups], [members]
+        due = [due]
+        for pdf in () if state.hasTimedOut else batches:
+            g, known = pdf["grp"].to_numpy(np.int64), pdf["known"].to_numpy(bool)
+            seen.append(g)
+            due.append(np.maximum(pdf["ms"].to_numpy(np.int64), mark) + timeout_ms)
+            owners.append(g[known])
+            members.append(pdf["member"].to_numpy(np.int64)[known])
+        groups, place = np.unique(np.concatenate(seen), return_inverse=True)
+        last = np.full(len(groups), np.iinfo(np.int64).min)
+        np.maximum.at(last, place, np.concatenate(due))
+        owners, members = np.concatenate(owners), np.concatenate(members)
+        order = np.lexsort((members, owners))
+        owners, members = owners[order], members[order]
+        new = np.ones(len(owners), bool)
+        new[1:] = (np.diff(owners) != 0) | (np.diff(members) != 0)
+        owners, members = owners[new], members[new]
+        begs, ends = (np.searchsorted(owners, groups, side) for side in ("left", "right"))
+        complete = ends - begs >= size
+        out = complete | (last < mark)
+        stay = ~out
+        if stay.any():
+            held = np.repeat(stay, ends - begs)
+            state.update(tuple(x.tolist() for x in (groups[stay], last[stay], (ends - begs)[stay], members[held])))
+            state.setTimeoutTimestamp(max(int(last[stay].min()), mark + 1))
+        elif state.exists:
             state.remove()
-            yield pd.DataFrame({"grp": [key[0]], "members": [sorted(have)], "complete": [False]})
-            return
-        newest = state.getCurrentWatermarkMs()
-        for pdf in batches:
-            have |= set(pdf["member"].dropna().tolist())
-            newest = max(newest, int(pdf["ms"].max()))
-        if len(have) >= size:
-            if state.exists:
-                state.remove()
-            yield pd.DataFrame({"grp": [key[0]], "members": [sorted(have)], "complete": [True]})
-        else:
-            state.update((sorted(have),))
-            state.setTimeoutTimestamp(newest + timeout_ms)
-
-    timed = df.select(F.col(group).alias("grp"), F.col(member).alias("member"), F.col(ts).cast("timestamp").alias("at")).withWatermark("at", late)
-    timed = timed.withColumn("ms", F.unix_millis("at"))
-    return timed.groupBy("grp").applyInPandasWithState(step, "grp long, members array<long>, complete boolean", "members array<long>", "update", GroupStateTimeout.EventTimeTimeout)
+        if out.any():
+            names = groups[out] if key[0] >= 0 else [None]
+            yield pd.DataFrame({"grp": names, "members": [members[b:e] for b, e in zip(begs[out], ends[out])], "complete": complete[out]})
+
+    timed = df.select(F.col(group).cast("long").alias("grp"), F.col(member).cast("long").alias("member"), F.col(ts).cast("timestamp").alias("at")).withWatermark("at", late)
+    bucket = F.when(F.col("grp").isNull(), -1).otherwise(F.pmod(F.xxhash64("grp"), F.lit(buckets))).cast("int")
+    or_0 = lambda c: F.coalesce(c, F.lit(0).cast("long"))  # noqa: E731  (nulls would make a column of floats)
+    keyed = timed.select(bucket.alias("bucket"), or_0(F.col("grp")).alias("grp"), F.col("member").isNotNull().alias("known"), or_0(F.col("member")).alias("member"), or_0(F.unix_millis("at")).alias("ms"), "at")
+    held = "groups array<long>, due array<long>, sizes array<long>, members array<long>"
+    return keyed.groupBy("bucket").applyInPandasWithState(step, "grp long, members array<long>, complete boolean", held, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def interval_maps(df: DataFrame, entity: str, beg: str, end: str) -> DataFrame:
