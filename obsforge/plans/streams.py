@@ -28,7 +28,7 @@ def _stream(spark, d, name, *cols, batch_bytes=None):
 
 def stream_tumbling(spark, d):
     """Science packets per half hour and spacecraft; the counts of a window are given out anew with each batch, the last one stands."""
-    s = ingest.tumbling_counts(_stream(spark, d, "sci_xfi", "spacecraft_id", "timestamp"), "timestamp", "32 minutes", ["spacecraft_id"])
+    s = ingest.tumbling_counts(_stream(spark, d, "sci_xfi", "spacecraft_id", "timestamp", batch_bytes=BATCH_BYTES), "timestamp", "32 minutes", ["spacecraft_id"])
     last = _run(spark, s, "update").groupBy("start", "spacecraft_id").agg(F.max_by("n", "batch").alias("n"))
     return last.select(F.col("start").cast("timestamp_ntz").alias("start"), "spacecraft_id", "n")
 

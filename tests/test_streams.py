@@ -68,11 +68,11 @@ def over_folder(spark, sf, tmp_path, monkeypatch, query, table, batch_bytes, par
     return len(list((tmp_path / "out/rows").glob("batch=*")))
 
 
-@pytest.mark.parametrize("query, table", [("stream_groups", "files")])
+@pytest.mark.parametrize("query, table", [("stream_groups", "files"), ("stream_tumbling", "sci_xfi")])
 def test_small_files_share_a_batch(spark, sf, tmp_path, monkeypatch, query, table):
     assert over_folder(spark, sf, tmp_path, monkeypatch, query, table, None) <= 2  # one of data, one of the watermark
 
 
-@pytest.mark.parametrize("query, table", [("stream_groups", "files")])
+@pytest.mark.parametrize("query, table", [("stream_groups", "files"), ("stream_tumbling", "sci_xfi")])
 def test_many_batches(spark, sf, tmp_path, monkeypatch, query, table):
     assert over_folder(spark, sf, tmp_path, monkeypatch, query, table, 1) >= 12
